@@ -45,7 +45,7 @@ from starmart.sources.shipments import (  # noqa: E402
 )
 
 SPEC = SHIPMENT_SPEC
-DAY = date(1998, 9, 2)
+DAY = date(1999, 6, 30)
 PREVIEW_ROWS = 20
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +13,13 @@ from starmart.functions.periods import PERIODS
 from starmart.operators.lookup import case_lookup
 from starmart.operators.numbering import POSITION, with_position
 from starmart.operators.totals import unpivot_measures, wide_totals
+from starmart.parallel import in_parallel
 from starmart.spec import StarSpec
 from starmart.staging import Staging
 
+# Jobs that run side by side.
+THREADS = 4
+
 
 def geo_column(geo: str) -> str:
     return f"{geo}_id"
@@ -84,14 +89,29 @@ def all_facts(
 ) -> dict[str, DataFrame]:
     """The six facts from totals by day, province and district. Months and
     years are summed from the daily totals of their own kind of place."""
+
+    def numbered(geo: str, period: str, df: DataFrame, date: str, code: str) -> DataFrame:
+        totals = period_totals(df, geo, period, date, code, spec.measures)
+        return numbered_totals(totals, geo, period, staging)
+
+    days = in_parallel(
+        staging.spark,
+        {g: partial(numbered, g, "daily", daily, spec.date, spec.geo_code(g)) for g in GEOS},
+        THREADS,
+    )
+    date = PERIODS["daily"].column
+    longer = in_parallel(
+        staging.spark,
+        {
+            (g, p): partial(numbered, g, p, days[g], date, geo_column(g))
+            for g in GEOS
+            for p in PERIODS
+            if p != "daily"
+        },
+        THREADS,
+    )
     lookup = case_lookup(dim_case, spec.statuses)
-    facts = {}
-    for geo in GEOS:
-        days, date, code = daily, spec.date, spec.geo_code(geo)
-        for period in PERIODS:
-            totals = period_totals(days, geo, period, date, code, spec.measures)
-            numbered = numbered_totals(totals, geo, period, staging)
-            facts[fact_table(geo, period)] = fact_rows(numbered, lookup, spec, geo, period)
-            if period == "daily":
-                days, date, code = numbered, PERIODS[period].column, geo_column(geo)
-    return facts
+    parts = {(g, p): days[g] if p == "daily" else longer[g, p] for g in GEOS for p in PERIODS}
+    return {
+        fact_table(g, p): fact_rows(df, lookup, spec, g, p) for (g, p), df in parts.items()
+    }

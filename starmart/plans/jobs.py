@@ -6,15 +6,18 @@ warehouse before all tables are built and checked.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.contracts import PRIMARY_KEYS, conform_raw
+from starmart.contracts import DIMS, FACTS, PRIMARY_KEYS, conform_raw
 from starmart.functions.periods import date_violations
 from starmart.operators.flatten import RECORDS, flatten_records
 from starmart.operators.keys import key_violations
 from starmart.operators.totals import wide_totals
+from starmart.parallel import in_parallel
 from starmart.plans.dims import dim_case, dim_district, dim_province
 from starmart.plans.facts import all_facts
 from starmart.sinks.files import land
@@ -122,8 +125,11 @@ def _dims(raw: DataFrame, spec: StarSpec, staging: Staging, check_keys: bool) ->
         "dim_case": dim_case(places, spec),
     }
     if check_keys:
-        for table, keys in PRIMARY_KEYS.items():
-            _raise_if_any(key_violations(dims[table], keys), f"{table} has bad keys")
+        checks = {
+            table: partial(_raise_if_any, key_violations(dims[table], keys), f"{table} has bad keys")
+            for table, keys in PRIMARY_KEYS.items()
+        }
+        in_parallel(staging.spark, checks, len(checks))
     return dims
 
 
@@ -139,5 +145,8 @@ def _raise_if_any(violations: DataFrame, message: str) -> None:
 
 
 def _store(tables: dict[str, DataFrame], warehouse: Warehouse) -> None:
-    for table, df in tables.items():
-        warehouse.save(df, table)
+    """Dimensions first, as facts refer to them."""
+    for group in (DIMS, FACTS):
+        saves = {t: partial(warehouse.save, df, t) for t, df in tables.items() if t in group}
+        if saves:
+            in_parallel(next(iter(tables.values())).sparkSession, saves, warehouse.writers)

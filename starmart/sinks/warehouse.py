@@ -14,6 +14,9 @@ class Warehouse:
     """Overwrites and reads tables by name. Star tables are cast to their
     declared schema, other tables are taken as they are."""
 
+    # Tables that may be written side by side.
+    writers = 1
+
     def save(self, df: DataFrame, table: str) -> None:
         raise NotImplementedError
 
@@ -39,6 +42,8 @@ class FileWarehouse(Warehouse):
 
     path: str
 
+    writers = 4
+
     def _folder(self, table: str) -> str:
         return f"{self.path.rstrip('/')}/{table}"
 
@@ -110,12 +115,15 @@ class JdbcWarehouse(Warehouse):
             }
         return options
 
+    def _write(self, df: DataFrame, table: str, mode: str) -> None:
+        df.write.format("jdbc").options(**self.write_options(table)).mode(mode).save()
+
     def _reader(self, spark: SparkSession) -> DataFrameReader:
         return spark.read.format("jdbc")
 
     def save(self, df: DataFrame, table: str) -> None:
         df = _declared(df, table)
-        df.write.format("jdbc").options(**self.write_options(table)).mode("overwrite").save()
+        self._write(df, table, "overwrite")
         if self.check_rows:
             wanted, found = df.count(), self.row_count(df.sparkSession, table)
             if wanted != found:
@@ -137,5 +145,4 @@ class JdbcWarehouse(Warehouse):
         return int(self._reader(spark).options(**self._options(), query=query).load().first()[0])
 
     def create_if_absent(self, spark: SparkSession, table: str) -> None:
-        empty = spark.createDataFrame([], TABLES[table])
-        empty.write.format("jdbc").options(**self.write_options(table)).mode("ignore").save()
+        self._write(spark.createDataFrame([], TABLES[table]), table, "ignore")

@@ -11,7 +11,6 @@ from starmart.spec import StarSpec
 # Keeps NULL, '' and blanks apart. Text with line breaks needs Parquet.
 CSV_LOSSLESS = {
     "nullValue": "\\N",
-    "emptyValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
     "escape": '"',

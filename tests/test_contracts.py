@@ -1,0 +1,79 @@
+import pytest
+from fixtures import SMALL_SPEC
+from pyspark.errors import AnalysisException, ArithmeticException, NumberFormatException
+from pyspark.sql import functions as F
+
+from starmart import TABLES, conform, conform_raw
+from starmart.operators.keys import key_violations
+
+
+def test_declared_columns():
+    assert {t: s.simpleString() for t, s in TABLES.items()} == {
+        "dim_province": "struct<province_id:string,province_name:string>",
+        "dim_district": "struct<district_id:string,province_id:string,district_name:string>",
+        "dim_case": "struct<id:int,status:string,status_name:string,status_detail:string>",
+    } | {
+        f"fact_{geo}_{period}": f"struct<id:int,{geo}_id:string,case_id:int,{column}:string,total:bigint>"
+        for geo in ("province", "district")
+        for period, column in (("daily", "date"), ("monthly", "month"), ("yearly", "year"))
+    }
+
+
+def test_conform_casts_orders_and_checks(spark):
+    df = spark.createDataFrame([("West", 32, "extra")], "province_name string, province_id int, x string")
+    got = conform(df, "dim_province")
+    assert got.schema.simpleString() == TABLES["dim_province"].simpleString()
+    assert tuple(got.first()) == ("32", "West")
+    with pytest.raises(ValueError, match="province_name"):
+        conform(df.drop("province_name"), "dim_province")
+
+
+def test_conform_raises_on_ids_beyond_int(spark):
+    df = spark.range(1).select(
+        F.lit(2**31).alias("id"), F.lit("1").alias("status"), F.lit("1").alias("status_name"),
+        F.lit("1").alias("status_detail"),
+    )
+    with pytest.raises(ArithmeticException):
+        conform(df, "dim_case").collect()
+
+
+def raw(spark, b, a, kind_b, kind_a):
+    schema = f"tanggal string, kode_prov int, nama_prov string, kode_kab string, nama_kab string, b_y {kind_b}, a_x {kind_a}"
+    return spark.createDataFrame([("2020-08-05", 32, "West", "032", "North", b, a)], schema)
+
+
+def test_raw_widens_integers_and_keeps_codes_as_text(spark):
+    got = conform_raw(raw(spark, 1, 2, "int", "bigint"), SMALL_SPEC)
+    assert [f.dataType.simpleString() for f in got.schema] == ["string"] * 5 + ["bigint"] * 2
+    assert tuple(got.first()) == ("2020-08-05", "32", "West", "032", "North", 1, 2)
+
+
+def test_raw_refuses_text_measures_and_missing_columns(spark):
+    with pytest.raises(TypeError, match="a_x"):
+        conform_raw(raw(spark, 1, "2", "int", "string"), SMALL_SPEC)
+    with pytest.raises(ValueError, match="a_x"):
+        conform_raw(raw(spark, 1, 2, "int", "int").drop("a_x"), SMALL_SPEC)
+    bad = conform_raw(raw(spark, 1, "x", "int", "string"), SMALL_SPEC, from_text=True)
+    with pytest.raises(NumberFormatException):
+        bad.collect()
+
+
+def test_raw_takes_dates(spark):
+    df = raw(spark, 1, 2, "int", "int")
+    day = df.withColumn("tanggal", F.to_date("tanggal"))
+    assert conform_raw(day, SMALL_SPEC).first().tanggal == "2020-08-05"
+    stamp = df.withColumn("tanggal", F.to_timestamp_ntz("tanggal"))
+    assert conform_raw(stamp, SMALL_SPEC).first().tanggal == "2020-08-05 00:00:00"
+
+
+def test_key_violations(spark):
+    df = spark.createDataFrame(
+        [("1", "a"), ("1", "b"), ("2", "a"), (None, "a"), ("3", None)], "k string, v string"
+    )
+    assert {tuple(r) for r in key_violations(df, ["k"]).collect()} == {("1", 2), (None, 1)}
+    assert {tuple(r) for r in key_violations(df, ["k", "v"]).collect()} == {
+        (None, "a", 1),
+        ("3", None, 1),
+    }
+    with pytest.raises(AnalysisException):
+        key_violations(df, ["missing"]).collect()

@@ -1,0 +1,59 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from starmart.operators.numbering import POSITION, with_position
+from starmart.staging import Staging
+
+SCHEMA = "p string, g string, v bigint"
+
+
+def numbered(spark, data, partitions=3):
+    df = spark.createDataFrame(data, SCHEMA).repartition(partitions)
+    with Staging(spark) as staging:
+        return [tuple(r) for r in with_position(df, ["p", "g"], staging, "t").collect()]
+
+
+def expected(data):
+    order = sorted(data, key=lambda r: [(v is not None, (v or "").encode()) for v in r[:2]])
+    return {(p, g, v, i) for i, (p, g, v) in enumerate(order)}
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+@pytest.mark.parametrize("partitions", ["1", "2", "16"])
+def test_positions_with_one_hot_period(spark, conf, partitions, coalesce):
+    conf("spark.sql.shuffle.partitions", partitions)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    data = [("2020", str(i), i) for i in range(1000)]
+    data += [(f"20{i % 50:02}", f"x{i}", i) for i in range(500)] + [(None, None, 0), (None, "1", 1)]
+    random.Random(1).shuffle(data)
+    got = numbered(spark, data)
+    assert set(got) == expected(data)
+    assert len(got) == len(data)
+
+
+def test_spreads_a_hot_period_over_tasks(spark, conf):
+    conf("spark.sql.shuffle.partitions", "8")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.createDataFrame([("2020", f"{i:05}", i) for i in range(4000)], SCHEMA)
+    staging = Staging(spark)
+    with_position(df, ["p", "g"], staging, "t")
+    slots = spark.read.parquet(staging.folder("t")).selectExpr("_slot >> 33 AS part")
+    sizes = [r["count"] for r in slots.groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1500
+
+
+def test_no_rows(spark):
+    assert numbered(spark, []) == []
+
+
+text = st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]), max_size=3))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.tuples(text, text), st.integers(0, 9), max_size=30))
+def test_positions_of_any_text(spark, data):
+    rows = [(p, g, v) for (p, g), v in data.items()]
+    assert set(numbered(spark, rows)) == expected(rows)

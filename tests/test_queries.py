@@ -1,0 +1,28 @@
+"""Every query against its SQL twin. TEST_SF_DIR takes other tables."""
+
+import os
+
+import __spark_entry__ as entry
+import pytest
+from oracle import compare, connect
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    with connect(FOLDER) as connection:
+        yield connection
+
+
+def test_each_query_has_a_twin():
+    assert list(entry.queries()) == list(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_equals_sql(spark, connection, name):
+    assert compare(entry.queries()[name](spark, FOLDER), connection, entry.oracle_sql()[name]) > 0
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["id", "province_id", "case_id", "month", "total"]
