@@ -32,7 +32,7 @@ from starmart.functions.status import status_detail, status_name  # noqa: E402
 from starmart.operators.flatten import flatten_records  # noqa: E402
 from starmart.operators.keys import key_violations  # noqa: E402
 from starmart.operators.totals import unpivot_measures  # noqa: E402
-from starmart.plans.facts import numbered_totals, period_totals, status_rows  # noqa: E402
+from starmart.plans.facts import period_totals, sorted_totals, status_rows  # noqa: E402
 from starmart.plans.jobs import row_counts  # noqa: E402
 from starmart.sinks.files import land  # noqa: E402
 from starmart.sinks.warehouse import FileWarehouse  # noqa: E402
@@ -119,11 +119,9 @@ def _fact_filtered_by_date(spark: SparkSession, folder: str) -> DataFrame:
 def _dense_fact_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The fact id of each key, before any join."""
     raw = shipment_records(spark, folder)
-    totals = period_totals(
-        raw, "district", "daily", SPEC.date, SPEC.district_code, SPEC.measures
-    )
-    numbered = numbered_totals(totals, "district", "daily", Staging(spark))
-    rows = status_rows(numbered, SPEC, "district", "daily")
+    totals = period_totals(raw, "district", "daily", SPEC.date, SPEC.district_code, SPEC.measures)
+    runs = sorted_totals(totals, "district", "daily", Staging(spark))
+    rows = status_rows(runs, SPEC, "district", "daily")
     return rows.select(F.col("id").cast("int").alias("id"), "date", "district_id", "status")
 
 

@@ -19,20 +19,26 @@ _BEFORE = "_before"
 _ROW_BITS = 33
 
 
-def with_position(df: DataFrame, keys: Sequence[str], staging: Staging, name: str) -> DataFrame:
-    """Adds the 0-based place of each row in the order of ``keys``, NULLs first.
-    No two rows may share the same keys.
+def sorted_runs(df: DataFrame, keys: Sequence[str], staging: Staging, name: str) -> DataFrame:
+    """Stages ``df`` sorted by ``keys``, NULLs first, with the place of each row
+    in its sort partition. No two rows may share the same keys.
 
     The range-partitioned sort gives each partition a run of the order, however
-    many rows one period holds. The sorted rows are staged: a second run of the
-    sort could draw other partition bounds. What remains is to add the number of
-    rows in the partitions before, a table with one row per sort partition. Its
-    size is bounded by spark.sql.shuffle.partitions, so it is broadcast.
+    many rows one period holds. It has to be staged: a second run of the sort
+    could draw other partition bounds.
     """
     order = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
-    runs = staging.save(
-        df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id()), name
-    ).withColumn(_PART, F.shiftright(_SLOT, _ROW_BITS))
+    return staging.save(df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id()), name)
+
+
+def with_position(runs: DataFrame) -> DataFrame:
+    """Adds the 0-based place of each row in the whole order.
+
+    What the runs lack is the number of rows in the partitions before. That is
+    a table with one row per sort partition, at most spark.sql.shuffle.partitions
+    rows however large the data, so one task adds it up and it is broadcast.
+    """
+    runs = runs.withColumn(_PART, F.shiftright(_SLOT, _ROW_BITS))
     sizes = runs.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(_PART, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_BEFORE))

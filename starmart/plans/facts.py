@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starmart.contracts import GEOS, conform, conform_raw, fact_table
 from starmart.functions.periods import PERIODS
 from starmart.operators.lookup import case_lookup
-from starmart.operators.numbering import POSITION, with_position
+from starmart.operators.numbering import POSITION, sorted_runs, with_position
 from starmart.operators.totals import unpivot_measures, wide_totals
 from starmart.parallel import in_parallel
 from starmart.spec import StarSpec
@@ -36,32 +36,31 @@ def period_totals(
     return wide_totals(df, keys, measures)
 
 
-def numbered_totals(totals: DataFrame, geo: str, period: str, staging: Staging) -> DataFrame:
-    """``period_totals`` with the place of each row in the order of period and
-    place. Staged, so reading it again is cheap."""
+def sorted_totals(totals: DataFrame, geo: str, period: str, staging: Staging) -> DataFrame:
+    """``period_totals`` staged in the order of period and place."""
     keys = [PERIODS[period].column, geo_column(geo)]
-    return with_position(totals, keys, staging, fact_table(geo, period))
+    return sorted_runs(totals, keys, staging, fact_table(geo, period))
 
 
-def status_rows(numbered: DataFrame, spec: StarSpec, geo: str, period: str) -> DataFrame:
-    """The long form with the fact id.
+def status_rows(runs: DataFrame, spec: StarSpec, geo: str, period: str) -> DataFrame:
+    """The long form of ``sorted_totals`` with the fact id.
 
     Every period and place has all statuses, so the id in the order of period,
     place and status follows from the place of the wide row: the sort handles
     one row per period and place, not one per status.
     """
     ids = [POSITION, geo_column(geo), PERIODS[period].column]
-    long = unpivot_measures(numbered, ids, spec.statuses, value="total")
+    long = unpivot_measures(with_position(runs), ids, spec.statuses, value="total")
     status_place = F.array_position(F.array(*[F.lit(s) for s in spec.statuses]), F.col("status"))
     return long.withColumn("id", F.col(POSITION) * len(spec.statuses) + status_place).drop(POSITION)
 
 
 def fact_rows(
-    numbered: DataFrame, lookup: DataFrame, spec: StarSpec, geo: str, period: str
+    runs: DataFrame, lookup: DataFrame, spec: StarSpec, geo: str, period: str
 ) -> DataFrame:
     """Inner join with the case ids. The fact ids are given before: a status
     that the dimension lacks leaves gaps."""
-    rows = status_rows(numbered, spec, geo, period).join(lookup, "status")
+    rows = status_rows(runs, spec, geo, period).join(lookup, "status")
     return conform(rows, fact_table(geo, period))
 
 
@@ -74,14 +73,16 @@ def fact(
     where: Column | None = None,
     staging: Staging | None = None,
 ) -> DataFrame:
-    """One fact from the raw table; ``where`` filters the raw rows first."""
+    """One fact from the raw table; ``where`` filters the raw rows first.
+
+    The totals are computed and staged at once. The result reads them, so their
+    folder has to stay until it is used: pass ``staging`` to drop it afterwards.
+    """
     records = conform_raw(raw if where is None else raw.where(where), spec)
     staging = staging or Staging(raw.sparkSession)
-    totals = period_totals(
-        records, geo, period, spec.date, spec.geo_code(geo), spec.measures
-    )
-    numbered = numbered_totals(totals, geo, period, staging)
-    return fact_rows(numbered, case_lookup(dim_case, spec.statuses), spec, geo, period)
+    totals = period_totals(records, geo, period, spec.date, spec.geo_code(geo), spec.measures)
+    runs = sorted_totals(totals, geo, period, staging)
+    return fact_rows(runs, case_lookup(dim_case, spec.statuses), spec, geo, period)
 
 
 def all_facts(
@@ -90,20 +91,20 @@ def all_facts(
     """The six facts from totals by day, province and district. Months and
     years are summed from the daily totals of their own kind of place."""
 
-    def numbered(geo: str, period: str, df: DataFrame, date: str, code: str) -> DataFrame:
+    def runs(geo: str, period: str, df: DataFrame, date: str, code: str) -> DataFrame:
         totals = period_totals(df, geo, period, date, code, spec.measures)
-        return numbered_totals(totals, geo, period, staging)
+        return sorted_totals(totals, geo, period, staging)
 
     days = in_parallel(
         staging.spark,
-        {g: partial(numbered, g, "daily", daily, spec.date, spec.geo_code(g)) for g in GEOS},
+        {g: partial(runs, g, "daily", daily, spec.date, spec.geo_code(g)) for g in GEOS},
         THREADS,
     )
     date = PERIODS["daily"].column
     longer = in_parallel(
         staging.spark,
         {
-            (g, p): partial(numbered, g, p, days[g], date, geo_column(g))
+            (g, p): partial(runs, g, p, days[g], date, geo_column(g))
             for g in GEOS
             for p in PERIODS
             if p != "daily"

@@ -40,7 +40,7 @@ class Staging:
         return f"{self.path}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.folder(name)
+        path = self.folder(f"{name}-{uuid.uuid4().hex[:8]}")
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -13,11 +14,16 @@ TABLES = (
 ).split()
 
 
+def pattern(folder: str, table: str) -> str:
+    path = Path(folder) / f"{table}.parquet"
+    return f"{path}/*.parquet" if path.is_dir() else str(path)
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')"
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{pattern(folder, table)}')"
         )
     return connection
 

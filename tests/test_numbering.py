@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from starmart.operators.numbering import POSITION, with_position
+from starmart.operators.numbering import sorted_runs, with_position
 from starmart.staging import Staging
 
 SCHEMA = "p string, g string, v bigint"
@@ -13,7 +13,8 @@ SCHEMA = "p string, g string, v bigint"
 def numbered(spark, data, partitions=3):
     df = spark.createDataFrame(data, SCHEMA).repartition(partitions)
     with Staging(spark) as staging:
-        return [tuple(r) for r in with_position(df, ["p", "g"], staging, "t").collect()]
+        runs = sorted_runs(df, ["p", "g"], staging, "t")
+        return [tuple(r) for r in with_position(runs).collect()]
 
 
 def expected(data):
@@ -39,8 +40,7 @@ def test_spreads_a_hot_period_over_tasks(spark, conf):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     df = spark.createDataFrame([("2020", f"{i:05}", i) for i in range(4000)], SCHEMA)
     staging = Staging(spark)
-    with_position(df, ["p", "g"], staging, "t")
-    slots = spark.read.parquet(staging.folder("t")).selectExpr("_slot >> 33 AS part")
+    slots = sorted_runs(df, ["p", "g"], staging, "t").selectExpr("_slot >> 33 AS part")
     sizes = [r["count"] for r in slots.groupBy("part").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1500
 

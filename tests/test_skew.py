@@ -1,0 +1,58 @@
+"""A hot order: a third of all line items belong to it."""
+
+import shutil
+from pathlib import Path
+
+import __spark_entry__ as entry
+import pytest
+from oracle import compare, connect
+from pyspark.sql import functions as F
+
+from starmart.sources.shipments import shipment_records
+
+FOLDER = Path("/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """The smallest tables with more line items, many of them of one order of a
+    customer who also has a third of all orders."""
+    target = tmp_path_factory.mktemp("skewed")
+    for path in FOLDER.glob("*.parquet"):
+        if path.stem not in ("lineitem", "orders"):
+            shutil.copy(path, target)
+    lines = spark.read.parquet(str(FOLDER / "lineitem.parquet"))
+    copies = lines.crossJoin(spark.range(4)).drop("id")
+    hot = copies.sample(0.5, seed=1).withColumn("l_orderkey", F.lit(7).cast("bigint"))
+    copies.unionAll(hot).repartition(16).write.parquet(str(target / "lineitem.parquet"))
+    orders = spark.read.parquet(str(FOLDER / "orders.parquet"))
+    third = F.when(F.col("o_orderkey") % 3 == 0, 5).otherwise(F.col("o_custkey"))
+    orders.withColumn("o_custkey", third.cast("bigint")).write.parquet(str(target / "orders.parquet"))
+    return str(target)
+
+
+def final_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_hot_order_is_split(spark, conf, folder):
+    conf("spark.sql.shuffle.partitions", "32")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    df = shipment_records(spark, folder).groupBy("tanggal").agg(F.sum("A_F"))
+    df.collect()
+    assert "SortMergeJoin(skew=true)" in final_plan(df)
+
+
+@pytest.mark.parametrize(
+    "name", ["fact_province_yearly", "fact_district_daily", "dim_district", "one_job_fact_totals"]
+)
+def test_results_stay_whole(spark, conf, folder, name):
+    conf("spark.sql.shuffle.partitions", "32")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    with connect(folder) as connection:
+        got = entry.queries()[name](spark, folder)
+        assert compare(got, connection, entry.oracle_sql()[name]) > 0
