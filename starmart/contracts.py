@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.functions.names import quoted
 from starmart.functions.periods import PERIODS
 from starmart.spec import StarSpec
 
@@ -60,7 +60,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     """Column order and types of a star table. Values that do not fit raise."""
     schema = TABLES[table]
     _require(df, schema.names, table)
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*_casts(schema))
 
 
 def raw_schema(spec: StarSpec) -> T.StructType:
@@ -85,7 +85,13 @@ def conform_raw(df: DataFrame, spec: StarSpec, from_text: bool = False) -> DataF
         }
         if wrong:
             raise TypeError(f"measures must be integers, got {wrong}")
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in raw_schema(spec)])
+    return df.selectExpr(*_casts(raw_schema(spec)))
+
+
+def _casts(schema: T.StructType) -> list[str]:
+    return [
+        f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema
+    ]
 
 
 def _require(df: DataFrame, names, what: str) -> None:

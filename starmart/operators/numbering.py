@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.functions.names import quoted
 from starmart.staging import Staging
 
 POSITION = "_position"
@@ -27,7 +28,7 @@ def sorted_runs(df: DataFrame, keys: Sequence[str], staging: Staging, name: str)
     many rows one period holds. It has to be staged: a second run of the sort
     could draw other partition bounds.
     """
-    order = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
+    order = [F.col(quoted(k)).asc_nulls_first() for k in keys]
     return staging.save(df.orderBy(*order).withColumn(_SLOT, F.monotonically_increasing_id()), name)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.names import quoted
+
 
 def wide_totals(df: DataFrame, keys: Sequence[Column], measures: Sequence[str]) -> DataFrame:
     """Sum of each measure per key; NULL where a group has NULLs only.
@@ -15,7 +17,8 @@ def wide_totals(df: DataFrame, keys: Sequence[Column], measures: Sequence[str])
     per measure. The map side combines first: a key that holds a third of all
     rows reaches the shuffle as one row per map task.
     """
-    return df.groupBy(*keys).agg(*[F.sum(f"`{m}`").alias(m) for m in measures])
+    sums = [F.expr(f"sum({quoted(m)}) AS {quoted(m)}") for m in measures]
+    return df.groupBy(*keys).agg(*sums)
 
 
 def unpivot_measures(
@@ -26,6 +29,4 @@ def unpivot_measures(
     value: str = "count",
 ) -> DataFrame:
     """One row per measure, NULLs included."""
-    return df.unpivot(
-        [F.col(f"`{c}`") for c in ids], [F.col(f"`{m}`") for m in measures], status, value
-    )
+    return df.unpivot([quoted(c) for c in ids], [quoted(m) for m in measures], status, value)

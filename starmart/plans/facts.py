@@ -81,8 +81,15 @@ def fact(
     records = conform_raw(raw if where is None else raw.where(where), spec)
     staging = staging or Staging(raw.sparkSession)
     totals = period_totals(records, geo, period, spec.date, spec.geo_code(geo), spec.measures)
-    runs = sorted_totals(totals, geo, period, staging)
-    return fact_rows(runs, case_lookup(dim_case, spec.statuses), spec, geo, period)
+    parts = in_parallel(
+        staging.spark,
+        {
+            "runs": partial(sorted_totals, totals, geo, period, staging),
+            "lookup": partial(case_lookup, dim_case, spec.statuses),
+        },
+        THREADS,
+    )
+    return fact_rows(parts["runs"], parts["lookup"], spec, geo, period)
 
 
 def all_facts(
@@ -95,24 +102,25 @@ def all_facts(
         totals = period_totals(df, geo, period, date, code, spec.measures)
         return sorted_totals(totals, geo, period, staging)
 
-    days = in_parallel(
+    first = in_parallel(
         staging.spark,
-        {g: partial(runs, g, "daily", daily, spec.date, spec.geo_code(g)) for g in GEOS},
+        {(g, "daily"): partial(runs, g, "daily", daily, spec.date, spec.geo_code(g)) for g in GEOS}
+        | {"lookup": partial(case_lookup, dim_case, spec.statuses)},
         THREADS,
     )
+    lookup = first.pop("lookup")
     date = PERIODS["daily"].column
     longer = in_parallel(
         staging.spark,
         {
-            (g, p): partial(runs, g, p, days[g], date, geo_column(g))
+            (g, p): partial(runs, g, p, first[g, "daily"], date, geo_column(g))
             for g in GEOS
             for p in PERIODS
             if p != "daily"
         },
         THREADS,
     )
-    lookup = case_lookup(dim_case, spec.statuses)
-    parts = {(g, p): days[g] if p == "daily" else longer[g, p] for g in GEOS for p in PERIODS}
+    parts = first | longer
     return {
-        fact_table(g, p): fact_rows(df, lookup, spec, g, p) for (g, p), df in parts.items()
+        fact_table(g, p): fact_rows(parts[g, p], lookup, spec, g, p) for g in GEOS for p in PERIODS
     }

@@ -18,7 +18,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmart.spec import CASE_SPEC
 
@@ -27,19 +26,12 @@ SHIPMENT_SPEC = replace(CASE_SPEC, measures=("A_F", "A_O", "N_F", "N_O", "R_F",
 
 # The columns in use, declared so that no job has to infer them.
 TABLE_SCHEMAS = {
-    "lineitem": T.StructType()
-    .add("l_orderkey", T.LongType())
-    .add("l_quantity", T.DoubleType())
-    .add("l_returnflag", T.StringType())
-    .add("l_linestatus", T.StringType())
-    .add("l_shipdate", T.TimestampNTZType()),
-    "orders": T.StructType().add("o_orderkey", T.LongType()).add("o_custkey", T.LongType()),
-    "customer": T.StructType().add("c_custkey", T.LongType()).add("c_nationkey", T.IntegerType()),
-    "nation": T.StructType()
-    .add("n_nationkey", T.IntegerType())
-    .add("n_name", T.StringType())
-    .add("n_regionkey", T.IntegerType()),
-    "region": T.StructType().add("r_regionkey", T.IntegerType()).add("r_name", T.StringType()),
+    "lineitem": "l_orderkey BIGINT, l_quantity DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
 }
 
 
@@ -47,14 +39,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _measure(name: str) -> Column:
+def _measure(name: str) -> str:
     flag, status = name.split("_")
-    match = (F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status)
-    return F.when(match, F.col("l_quantity").cast("bigint")).alias(name)
+    return (
+        f"CASE WHEN l_returnflag = '{flag}' AND l_linestatus = '{status}' "
+        f"THEN CAST(l_quantity AS BIGINT) END AS {name}"
+    )
 
 
-def _measures() -> list[Column]:
-    return [_measure(name) for name in SHIPMENT_SPEC.measures]
+MEASURES = [_measure(name) for name in SHIPMENT_SPEC.measures]
 
 
 def _on(day: date) -> Column:
@@ -65,7 +58,7 @@ def _on(day: date) -> Column:
 
 def shipment_measures(spark: SparkSession, folder: str) -> DataFrame:
     """The measures alone, for what needs no geography."""
-    return _table(spark, folder, "lineitem").select(_measures())
+    return _table(spark, folder, "lineitem").selectExpr(*MEASURES)
 
 
 def shipment_records(spark: SparkSession, folder: str, day: date | None = None) -> DataFrame:
@@ -90,13 +83,13 @@ def shipment_records(spark: SparkSession, folder: str, day: date | None = None)
         .join(homes, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("l_shipdate").cast("date").cast("string").alias("tanggal"),
-            F.col("r_regionkey").cast("string").alias("kode_prov"),
-            F.col("r_name").alias("nama_prov"),
-            F.col("n_nationkey").cast("string").alias("kode_kab"),
-            F.col("n_name").alias("nama_kab"),
-            *_measures(),
+        .selectExpr(
+            "CAST(CAST(l_shipdate AS DATE) AS STRING) AS tanggal",
+            "CAST(r_regionkey AS STRING) AS kode_prov",
+            "r_name AS nama_prov",
+            "CAST(n_nationkey AS STRING) AS kode_kab",
+            "n_name AS nama_kab",
+            *MEASURES,
         )
     )
 
