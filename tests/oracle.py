@@ -35,8 +35,13 @@ def ordered(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
 
 
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT"}
+
+
 def compare(spark_df, connection, sql: str) -> int:
-    """Asserts equal columns and rows; returns the number of rows."""
+    """Asserts equal columns, types and rows; returns the number of rows."""
+    types = {f.name: SQL_TYPES[f.dataType.simpleString()] for f in spark_df.schema}
+    assert types == {c[0]: c[1] for c in connection.execute(f"DESCRIBE {sql}").fetchall()}
     expected = ordered(connection.execute(sql).df())
     actual = ordered(spark_df.toPandas())
     pd.testing.assert_frame_equal(actual, expected)
