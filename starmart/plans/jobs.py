@@ -83,8 +83,16 @@ def build_all(
     with Staging(raw.sparkSession) as staging:
         daily = staging.save(_grouped(conform_raw(raw, spec), spec.keys, spec), "daily")
         _check_dates(daily, spec, strict_dates)
-        dims = _dims(daily, spec, staging, check_keys)
-        _store(dims | all_facts(daily, dims["dim_case"], spec, staging), warehouse)
+        cases = dim_case(daily, spec)
+        built = in_parallel(
+            staging.spark,
+            {
+                "dims": partial(_dims, daily, spec, staging, check_keys),
+                "facts": partial(all_facts, daily, cases, spec, staging),
+            },
+            2,
+        )
+        _store(built["dims"] | built["facts"], warehouse)
 
 
 def copy_csv(
