@@ -44,6 +44,20 @@ from starmart.sources.shipments import (  # noqa: E402
     shipment_records,
 )
 
+# The folders of these operators may be absent; nothing else needs them.
+try:
+    import corpus_pipeline
+    from starmart.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "starmart.llm", "starmart.llm.queries"):
+        raise
+    CORPUS, CORPUS_SQL = {}, {}
+else:
+    CORPUS = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    CORPUS_SQL = corpus_queries.ORACLE_SQL | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    )
+
 SPEC = SHIPMENT_SPEC
 DAY = date(1999, 6, 30)
 PREVIEW_ROWS = 20
@@ -196,6 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "one_job_fact_totals": lambda s, folder: _fact_totals(s, _one_job(s, folder)),
         "two_job_fact_totals": lambda s, folder: _fact_totals(s, _two_jobs(s, folder)),
         "star_row_counts": lambda s, folder: row_counts(s, _one_job(s, folder), TABLES),
+        **CORPUS,
     }
 
 
@@ -284,7 +299,7 @@ def _row_counts_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL twin of every query."""
+    """The SQL twin of every query that SQL can express."""
     raw_rows = f"WITH {_RAW} SELECT * FROM raw"
     text_rows = f"WITH {_RAW} SELECT " + ", ".join(
         f"CAST({c} AS VARCHAR) AS {c}" for c in SPEC.columns
@@ -321,4 +336,5 @@ def oracle_sql() -> dict[str, str]:
         "one_job_fact_totals": _fact_totals_sql(),
         "two_job_fact_totals": _fact_totals_sql(),
         "star_row_counts": _row_counts_sql(),
+        **CORPUS_SQL,
     }
