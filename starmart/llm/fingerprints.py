@@ -18,7 +18,7 @@ from starmart.staging import Staging
 
 SHINGLE_WORDS = 5
 # Of 2 ** KEEP_BITS hashes one is kept.
-KEEP_BITS = 3
+KEEP_BITS = 2
 SKETCH = "array<bigint>"
 
 

@@ -12,10 +12,10 @@ counters, a table of fixed size whatever the corpus, so its broadcast is bounded
 Frequencies of words, not of shingles, keep a large group of copies similar: a
 shingle that many copies share does not lose its weight against their edits.
 
-Buckets are never expanded into all pairs. In each round a bucket compares one
-leader, the member that meets most others over all bands, with the rest; rounds
-go on until every member is linked to a leader, has been one, or shares a class
-with one.
+Buckets are never expanded into all pairs. In the first round a bucket compares
+one leader, the member that meets most others over all bands, with the rest.
+Members that then share no class with a leader lead in later rounds, more of
+them each time, until every member has been a leader or shares a class with one.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.components import component_labels
@@ -37,6 +37,8 @@ SIMILARITY = 0.8
 BANDS = 10
 ROWS = 4
 WORD_BUCKETS = 1 << 18
+# Times as many leaders per bucket in each further round.
+LEADER_GROWTH = 8
 # Texts handled at once, in characters.
 BATCH_CHARS = 1 << 18
 
@@ -45,14 +47,14 @@ _DRAW_BITS = 16
 _OFFSET = np.float32(64)
 
 
-def _draws() -> tuple[np.ndarray, np.ndarray]:
+def _draws() -> tuple[np.ndarray, list[np.ndarray]]:
     """Per sample an odd multiplier; per multiplied hash the variables r, 1/r,
     beta and ln c of the sampling: two Gamma(2, 1) and a uniform."""
     rng = np.random.Generator(np.random.PCG64(20))
     odd = rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
     u = rng.random((1 << _DRAW_BITS, 5)) * (1 - 1e-9) + 1e-9
     r, c = -np.log(u[:, 0] * u[:, 1]), -np.log(u[:, 2] * u[:, 3])
-    return odd, np.stack([r, 1 / r, u[:, 4], np.log(c) - r], axis=1).astype(np.float32)
+    return odd, [x.astype(np.float32) for x in (r, 1 / r, u[:, 4], np.log(c) - r)]
 
 
 def word_buckets(words: np.ndarray) -> np.ndarray:
@@ -118,19 +120,25 @@ def weighted_jaccard(a, b) -> float:
 def band_hashes(hashes: np.ndarray, weights: np.ndarray, first: np.ndarray, draws) -> np.ndarray:
     """(texts, BANDS) hashes of the samples of each band. ``first``: where the
     shingles of each text begin; every text has one at least."""
-    odd, table = draws
+    odd, (r, inverse, beta, log_c) = draws
     log_weight = np.log(weights)
-    low = hashes & np.uint64(0xFFFFFFFF)
+    low = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     samples = np.empty((len(odd), len(first)), np.uint64)
     for k, factor in enumerate(odd):
-        drawn = table[((hashes * factor) >> np.uint64(64 - _DRAW_BITS)).astype(np.int64)]
-        step = np.floor(log_weight * drawn[:, 1] + drawn[:, 2])
-        place = drawn[:, 3] - drawn[:, 0] * (step - drawn[:, 2])  # ln a
-        key = np.maximum(place + _OFFSET, np.float32(0)).view(np.uint32).astype(np.uint64)
-        name = (low + step.astype(np.int64).view(np.uint64) * np.uint64(0x85EBCA6B)) & np.uint64(
-            0xFFFFFFFF
-        )
-        samples[k] = np.minimum.reduceat((key << np.uint64(32)) | name, first)
+        drawn = ((hashes * factor) >> np.uint64(64 - _DRAW_BITS)).astype(np.intp)
+        place = beta[drawn]
+        step = log_weight * inverse[drawn]
+        step += place
+        np.floor(step, out=step)
+        # ln a = ln c - r * (step - beta) - r, shifted to be positive
+        place -= step
+        place *= r[drawn]
+        place += log_c[drawn]
+        place += _OFFSET
+        np.maximum(place, np.float32(0), out=place)
+        name = low + step.astype(np.int32).view(np.uint32) * np.uint32(0x85EBCA6B)
+        key = (place.view(np.uint32).astype(np.uint64) << np.uint64(32)) | name
+        samples[k] = np.minimum.reduceat(key, first)
     names = samples & np.uint64(0xFFFFFFFF)
     out = np.empty((len(first), BANDS), np.uint64)
     for band in range(BANDS):
@@ -246,14 +254,16 @@ def near_duplicates(
         "needed",
     )
 
-    links, labels, done = None, None, None
+    links, labels, done, leads = None, None, None, 1
     while True:
+        first = Window.partitionBy("bucket").orderBy(F.col("rank").desc())
         leaders = (
             state.where(~F.col("met") & ~F.col("led"))
-            .groupBy("bucket")
-            .agg(F.max("rank").alias("leader"))
-            .select("bucket", F.col("leader.text_key").alias("a"))
+            .withColumn("place", F.row_number().over(first))
+            .where(F.col("place") <= leads)
+            .select("bucket", F.col("text_key").alias("a"))
         )
+        leads *= LEADER_GROWTH
         members = state.where(~F.col("led")).select("bucket", F.col("text_key").alias("b"))
         wants = leaders.join(members, "bucket").where("a <> b").select("a", "b")
         if labels is not None:
@@ -274,10 +284,11 @@ def near_duplicates(
         done = wants if done is None else done.unionByName(wants)
         labels = component_labels(links, staging)
         # A member is settled once it shares a class with a leader of its bucket.
-        led = state.join(leaders, "bucket", "left").withColumn(
-            "led", F.col("led") | F.coalesce(F.col("a") == F.col("text_key"), F.lit(False))
+        now = leaders.select("bucket", F.col("a").alias("text_key"), F.lit(True).alias("now"))
+        led = state.join(now, ["bucket", "text_key"], "left").withColumn(
+            "led", F.col("led") | F.coalesce("now", F.lit(False))
         )
-        named = led.drop("a").join(
+        named = led.drop("now").join(
             labels.withColumnRenamed("node", "text_key"), "text_key", "left"
         )
         led_labels = (
