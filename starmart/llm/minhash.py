@@ -12,10 +12,14 @@ counters, a table of fixed size whatever the corpus, so its broadcast is bounded
 Frequencies of words, not of shingles, keep a large group of copies similar: a
 shingle that many copies share does not lose its weight against their edits.
 
-Buckets are never expanded into all pairs. In the first round a bucket compares
-one leader, the member that meets most others over all bands, with the rest.
-Members that then share no class with a leader lead in later rounds, more of
-them each time, until every member has been a leader or shares a class with one.
+Buckets are never expanded into all pairs. First each bucket compares its leader,
+the member that meets most others over all bands, with the rest; a large group of
+copies mostly ends up in the leader's class that way. Then a member outside the
+leader's class meets members of other classes of its bucket, but only those that
+can be similar: the distance (1 - similarity) is a metric, so their distances to
+the leader may differ by ``1 - SIMILARITY`` at most, and of ``MORE_SAMPLES``
+samples drawn anew ``LEAST_AGREEMENT`` must agree (of texts with similarity 0.8
+fewer agree with a chance of 0.008).
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.components import component_labels
@@ -37,8 +41,10 @@ SIMILARITY = 0.8
 BANDS = 10
 ROWS = 4
 WORD_BUCKETS = 1 << 18
-# Times as many leaders per bucket in each further round.
-LEADER_GROWTH = 8
+MORE_SAMPLES = 120
+LEAST_AGREEMENT = 86
+# Shingle sets that a verifying task keeps.
+KEPT_SETS = 2_000
 # Texts handled at once, in characters.
 BATCH_CHARS = 1 << 18
 
@@ -47,11 +53,11 @@ _DRAW_BITS = 16
 _OFFSET = np.float32(64)
 
 
-def _draws() -> tuple[np.ndarray, list[np.ndarray]]:
+def _draws(samples: int, seed: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Per sample an odd multiplier; per multiplied hash the variables r, 1/r,
     beta and ln c of the sampling: two Gamma(2, 1) and a uniform."""
-    rng = np.random.Generator(np.random.PCG64(20))
-    odd = rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    rng = np.random.Generator(np.random.PCG64(seed))
+    odd = rng.integers(0, 1 << 63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
     u = rng.random((1 << _DRAW_BITS, 5)) * (1 - 1e-9) + 1e-9
     r, c = -np.log(u[:, 0] * u[:, 1]), -np.log(u[:, 2] * u[:, 3])
     return odd, [x.astype(np.float32) for x in (r, 1 / r, u[:, 4], np.log(c) - r)]
@@ -117,9 +123,9 @@ def weighted_jaccard(a, b) -> float:
     return both / either if either > 0 else 0.0
 
 
-def band_hashes(hashes: np.ndarray, weights: np.ndarray, first: np.ndarray, draws) -> np.ndarray:
-    """(texts, BANDS) hashes of the samples of each band. ``first``: where the
-    shingles of each text begin; every text has one at least."""
+def samples_of(hashes: np.ndarray, weights: np.ndarray, first: np.ndarray, draws) -> np.ndarray:
+    """(samples, texts) names of the samples drawn. ``first``: where the shingles
+    of each text begin; every text has one at least."""
     odd, (r, inverse, beta, log_c) = draws
     log_weight = np.log(weights)
     low = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -139,55 +145,82 @@ def band_hashes(hashes: np.ndarray, weights: np.ndarray, first: np.ndarray, draw
         name = low + step.astype(np.int32).view(np.uint32) * np.uint32(0x85EBCA6B)
         key = (place.view(np.uint32).astype(np.uint64) << np.uint64(32)) | name
         samples[k] = np.minimum.reduceat(key, first)
-    names = samples & np.uint64(0xFFFFFFFF)
-    out = np.empty((len(first), BANDS), np.uint64)
+    return samples & np.uint64(0xFFFFFFFF)
+
+
+def band_hashes(names: np.ndarray) -> np.ndarray:
+    """(texts, BANDS) hashes of the samples of each band."""
+    out = np.empty((names.shape[1], BANDS), np.uint64)
     for band in range(BANDS):
-        h = np.full(len(first), band, np.uint64)
+        h = np.full(names.shape[1], band, np.uint64)
         for row in names[band * ROWS : (band + 1) * ROWS]:
             h = mix(h ^ mix(row + np.uint64(band)))
         out[:, band] = h
     return out
 
 
+def _sampled(texts: list[str | None], idf: np.ndarray, draws) -> Iterator[np.ndarray | None]:
+    """Per text its samples, None without words."""
+    for run in batches([len(t or "") for t in texts], BATCH_CHARS):
+        words, first = words_of(texts[run])
+        sets = [
+            weighted_shingles(words[a:b], idf) for a, b in zip(first[:-1], first[1:], strict=True)
+        ]
+        full = [s for s in sets if len(s[0])]
+        names = iter(())
+        if full:
+            starts = np.cumsum([0] + [len(s[0]) for s in full[:-1]])
+            joined = [np.concatenate(x) for x in zip(*full, strict=True)]
+            names = iter(samples_of(*joined, starts, draws).T)
+        for s in sets:
+            yield next(names) if len(s[0]) else None
+
+
 def _signatures(keyed: DataFrame, idf: Broadcast) -> DataFrame:
     """(id, text_key, bands); bands are empty for a text without words."""
 
     def sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        draws, weights_of = _draws(), idf.value
+        draws = _draws(BANDS * ROWS, 20)
         for part in parts:
-            texts, bands = part["text"].tolist(), []
-            for run in batches([len(t or "") for t in texts], BATCH_CHARS):
-                words, first = words_of(texts[run])
-                sets = [
-                    weighted_shingles(words[a:b], weights_of)
-                    for a, b in zip(first[:-1], first[1:], strict=True)
-                ]
-                full = [s for s in sets if len(s[0])]
-                signed_bands = iter(())
-                if full:
-                    starts = np.cumsum([0] + [len(s[0]) for s in full[:-1]])
-                    joined = [np.concatenate(x) for x in zip(*full, strict=True)]
-                    signed_bands = iter(signed(band_hashes(*joined, starts, draws)))
-                bands += [next(signed_bands) if len(s[0]) else [] for s in sets]
-            yield pd.DataFrame({"id": part["id"], "text_key": part["text_key"], "bands": bands})
+            names = list(_sampled(part["text"].tolist(), idf.value, draws))
+            full = [n for n in names if n is not None]
+            hashes = iter(signed(band_hashes(np.stack(full, axis=1))) if full else ())
+            bands = [[] if n is None else next(hashes) for n in names]
+            yield part[["id", "text_key"]].assign(bands=bands)
 
     return keyed.mapInPandas(sign, "id BIGINT, text_key BINARY, bands ARRAY<BIGINT>")
 
 
+def _more_samples(texts: DataFrame, idf: Broadcast) -> DataFrame:
+    """(text_key, samples) of texts with words."""
+
+    def draw(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        draws = _draws(MORE_SAMPLES, 21)
+        for part in parts:
+            names = list(_sampled(part["text"].tolist(), idf.value, draws))
+            samples = [n.astype(np.uint32).view(np.int32) for n in names]
+            yield part[["text_key"]].assign(samples=samples)
+
+    return texts.mapInPandas(draw, "text_key BINARY, samples ARRAY<INT>")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
-    """(bucket, a, b, sim) of the pairs at SIMILARITY or above."""
+    """(a, b, sim): the exact weighted Jaccard similarity of each pair."""
 
     def verify(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights_of, last = idf.value, (None, None)
+        kept: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+
+        def shingles(key: bytes, text: str):
+            if key not in kept:
+                if len(kept) >= KEPT_SETS:
+                    kept.clear()
+                kept[key] = weighted_shingles(words_of([text])[0], idf.value)
+            return kept[key]
+
         for part in parts:
-            found = []
-            for key, a, b in zip(part["a"], part["a_text"], part["b_text"], strict=True):
-                if key != last[0]:
-                    last = (key, weighted_shingles(words_of([a])[0], weights_of))
-                other = weighted_shingles(words_of([b])[0], weights_of)
-                found.append(weighted_jaccard(last[1], other))
-            kept = part[["a", "b"]].assign(sim=found)
-            yield kept[kept["sim"] >= SIMILARITY]
+            rows = zip(part["a"], part["b"], part["a_text"], part["b_text"], strict=True)
+            found = [weighted_jaccard(shingles(a, x), shingles(b, y)) for a, b, x, y in rows]
+            yield part[["a", "b"]].assign(sim=found)
 
     left = texts.select(F.col("text_key").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("text_key").alias("b"), F.col("text").alias("b_text"))
@@ -195,6 +228,59 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
     return both.mapInPandas(verify, "a BINARY, b BINARY, sim DOUBLE")
 
 
+def _beyond_leaders(
+    state: DataFrame, led: DataFrame, labels: DataFrame, texts: DataFrame, idf: Broadcast
+) -> DataFrame:
+    """(a, b): pairs of members of a bucket in two classes, one of them outside
+    the leader's, that the leader's distances and the samples leave possible."""
+    label = lambda of, name: labels.select(F.col("node").alias(of), F.col("label").alias(name))
+    low, high = F.least("text_key", "leader"), F.greatest("text_key", "leader")
+    placed = (
+        state.withColumn("a", low)
+        .withColumn("b", high)
+        .join(led, ["a", "b"])
+        .join(label("text_key", "own"), "text_key", "left")
+        .join(label("leader", "first"), "leader", "left")
+        .select(
+            "bucket",
+            "text_key",
+            "sim",
+            F.coalesce("own", "text_key").alias("own"),
+            F.coalesce("own", "text_key").eqNullSafe(F.coalesce("first", "leader")).alias("inside"),
+        )
+    )
+    # Buckets whose members are all in the leader's class are done.
+    open_buckets = placed.where("NOT inside").select("bucket").distinct()
+    placed = placed.join(open_buckets, "bucket")
+    samples = _more_samples(texts.join(placed.select("text_key").distinct(), "text_key"), idf)
+    buckets = placed.groupBy("text_key").agg(F.collect_set("bucket").alias("buckets"))
+    placed = placed.join(samples, "text_key").join(buckets, "text_key")
+    columns = ("text_key", "sim", "own", "inside", "samples", "buckets")
+    side = lambda df, s: df.select("bucket", *[F.col(c).alias(c + s) for c in columns])
+    agreement = F.size(
+        F.filter(
+            F.zip_with("samples1", "samples2", lambda x, y: x == y), lambda same: same
+        )
+    )
+    return (
+        side(placed.where("NOT inside"), "1")
+        .join(side(placed, "2"), "bucket")
+        .where(
+            (F.col("own1") != F.col("own2"))
+            & (F.abs(F.col("sim1") - F.col("sim2")) <= 1 - SIMILARITY + 1e-9)
+            # Two outsiders meet once, and a pair in one of its buckets.
+            & (F.col("inside2") | (F.col("text_key1") < F.col("text_key2")))
+            & (F.array_min(F.array_intersect("buckets1", "buckets2")) == F.col("bucket"))
+            & (agreement >= LEAST_AGREEMENT)
+        )
+        .select(
+            F.least("text_key1", "text_key2").alias("a"),
+            F.greatest("text_key1", "text_key2").alias("b"),
+        )
+        .join(led.select("a", "b"), ["a", "b"], "left_anti")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", staging: Staging | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -224,7 +310,10 @@ def near_duplicates(
     rows = staging.save(_signatures(keyed, idf), "signatures")
     worded = rows.where(F.size("bands") > 0)
     texts = staging.save(
-        worded.groupBy("text_key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")),
+        worded.groupBy("text_key").agg(
+            F.min("id").alias("rep"),
+            F.first("bands").alias("bands"),
+        ),
         "texts",
     )
     met = texts.select("text_key", "rep", F.posexplode("bands").alias("band", "hash"))
@@ -232,17 +321,16 @@ def near_duplicates(
     full = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     state = met.join(full, "bucket")
     fame = state.groupBy("text_key").agg(F.sum("n").alias("fame"))
+    state = staging.save(state.join(fame, "text_key").select("bucket", "text_key", "fame"), "met")
+    rank = F.struct("fame", F.hash("bucket", "text_key"), "text_key")
+    leaders = state.groupBy("bucket").agg(F.max(rank).alias("top"))
     state = staging.save(
-        state.join(fame, "text_key").select(
-            "bucket",
-            "text_key",
-            F.struct("fame", F.hash("bucket", "text_key"), "text_key").alias("rank"),
-            F.lit(False).alias("led"),
-            F.lit(False).alias("met"),
-        ),
+        state.join(leaders.select("bucket", F.col("top.text_key").alias("leader")), "bucket")
+        .where("text_key <> leader")
+        .select("bucket", "text_key", "leader"),
         "buckets",
     )
-    wanted = state.select("text_key").distinct()
+    wanted = state.select("text_key").unionAll(state.select("leader")).distinct()
     reps = texts.select("text_key", "rep").join(wanted, "text_key")
     needed = staging.save(
         keyed.join(
@@ -254,61 +342,18 @@ def near_duplicates(
         "needed",
     )
 
-    links, labels, done, leads = None, None, None, 1
-    while True:
-        first = Window.partitionBy("bucket").orderBy(F.col("rank").desc())
-        leaders = (
-            state.where(~F.col("met") & ~F.col("led"))
-            .withColumn("place", F.row_number().over(first))
-            .where(F.col("place") <= leads)
-            .select("bucket", F.col("text_key").alias("a"))
-        )
-        leads *= LEADER_GROWTH
-        members = state.where(~F.col("led")).select("bucket", F.col("text_key").alias("b"))
-        wants = leaders.join(members, "bucket").where("a <> b").select("a", "b")
-        if labels is not None:
-            la = labels.select(F.col("node").alias("a"), F.col("label").alias("a_label"))
-            lb = labels.select(F.col("node").alias("b"), F.col("label").alias("b_label"))
-            wants = wants.join(la, "a", "left").join(lb, "b", "left")
-            wants = wants.where(~F.coalesce(F.col("a_label") == F.col("b_label"), F.lit(False)))
-        wants = wants.select(
-            F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a", "b"
-        ).dropDuplicates(["x", "y"])
-        if done is not None:
-            wants = wants.join(done.select("x", "y"), ["x", "y"], "left_anti")
-        wants = staging.save(wants, "wanted")
-        if wants.isEmpty():
-            break
-        found = staging.save(_verified(wants.select("a", "b"), needed, idf), "found")
-        links = found if links is None else links.unionByName(found)
-        done = wants if done is None else done.unionByName(wants)
-        labels = component_labels(links, staging)
-        # A member is settled once it shares a class with a leader of its bucket.
-        now = leaders.select("bucket", F.col("a").alias("text_key"), F.lit(True).alias("now"))
-        led = state.join(now, ["bucket", "text_key"], "left").withColumn(
-            "led", F.col("led") | F.coalesce("now", F.lit(False))
-        )
-        named = led.drop("now").join(
-            labels.withColumnRenamed("node", "text_key"), "text_key", "left"
-        )
-        led_labels = (
-            named.where("led AND label IS NOT NULL").select("bucket", "label").distinct()
-        ).withColumn("hit", F.lit(True))
-        state = staging.save(
-            named.join(led_labels, ["bucket", "label"], "left").select(
-                "bucket",
-                "text_key",
-                "rank",
-                "led",
-                (F.col("met") | F.col("led") | F.coalesce("hit", F.lit(False))).alias("met"),
-            ),
-            "buckets",
-        )
+    low, high = F.least("text_key", "leader"), F.greatest("text_key", "leader")
+    led = staging.save(
+        _verified(state.select(low.alias("a"), high.alias("b")).distinct(), needed, idf), "led"
+    )
+    linked = led.where(F.col("sim") >= SIMILARITY)
+    labels = component_labels(linked, staging)
+    more = staging.save(
+        _verified(_beyond_leaders(state, led, labels, needed, idf), needed, idf), "more"
+    )
+    links = linked.unionByName(more.where(F.col("sim") >= SIMILARITY))
+    labels = component_labels(links, staging)
 
-    if links is None:
-        links = spark.createDataFrame([], "a BINARY, b BINARY, sim DOUBLE")
-        labels = spark.createDataFrame([], "node BINARY, label BINARY")
-    links = links.select("a", "b", "sim")
     ends = links.select(F.col("a").alias("text_key")).unionAll(links.select("b"))
     degrees = ends.groupBy("text_key").agg(F.count(F.lit(1)).alias("n_links"))
     named = texts.join(labels.withColumnRenamed("node", "text_key"), "text_key", "left").select(
