@@ -218,11 +218,11 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def templates(pages: DataFrame, staging: Staging) -> DataFrame:
     """(host, fixed, linked) from (host, key, html): ``fixed`` are the tokens of
     texts in valid classes, ``linked`` the paths that are mostly links. Both are
     bounded by page length over LEAST_SHARE, not by the number of pages."""
-    tokens = (
+    tokens = staging.save(
         _tokens(pages)
         .groupBy("host", "token", "path")
         .agg(
@@ -230,7 +230,8 @@ def templates(pages: DataFrame) -> DataFrame:
             F.bit_xor("vector").alias("vector"),
             F.sum("chars").alias("chars"),
             F.sum("links").alias("links"),
-        )
+        ),
+        "tokens",
     )
     size = pages.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("pages"))
     classes = (
@@ -283,7 +284,7 @@ def extract_text(
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
     keyed = rows.withColumn("key", F.xxhash64("id", "url"))
-    known = staging.save(templates(keyed), "templates").withColumnRenamed("host", "of")
+    known = staging.save(templates(keyed, staging), "templates").withColumnRenamed("host", "of")
     both = rows.join(known, F.col("host") == F.col("of"), "left").drop("of", "host")
 
     def extract(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,0 +1,149 @@
+"""WARC round trips and main texts of pages."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+import pytest
+from conftest import prose
+
+from starmart.llm import html_text, warc
+from starmart.staging import Staging
+
+PAGE = "page_id BIGINT, url STRING, html STRING, host STRING, id STRING"
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame([(i, u, h, "x", "y") for i, u, h in rows], PAGE)
+
+
+def _roundtrip(spark, rows):
+    path = Staging(spark).folder("warc")
+    warc.write_warc(_pages(spark, rows), path)
+    return path, warc.read_warc(spark, path).collect()
+
+
+def test_pages_come_back_whole(spark):
+    long = prose(1, 12_000) + " é𝒳 WARC/1.1\r\n\r\n0\r\n\r\n"
+    rows = [
+        (1, "http://a/1", long),
+        (2, "http://a/2", "short"),
+        (3, None, None),
+        (4, "http://a/4\r\nX: y", ""),
+        (5, "http://a/5", "short"),
+        (9, "http://a/9", long),
+        (7, "http://a/7", long),
+        (None, "http://a/n", long),
+        (8, "http://a/8", "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" * 10),
+        (8, "http://a/8", "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" * 10),
+    ]
+    path, found = _roundtrip(spark, rows)
+    assert len(found) == len(rows)
+    want = {i: (h or "").encode() for i, _, h in rows}
+    for r in found:
+        page = r["record_id"].split(":")[-1].rstrip(">")
+        data = want[int(page) if page else None]
+        assert r["payload_bytes"] == len(data)
+        assert r["payload_digest"] == hashlib.sha256(data).hexdigest()
+        revisit = page in ("", "7", "9")
+        assert r["record_type"] == ("revisit" if revisit else "response")
+        assert r["refers_to"] == ("<urn:starmart:page:1>" if revisit else None)
+        if not revisit:
+            assert bytes(r["payload"]) == data
+    segments = warc.read_records(spark, path).where("segment > 0")
+    assert segments.count() > 2
+
+
+def test_no_pages(spark):
+    _, found = _roundtrip(spark, [])
+    assert found == []
+
+
+def test_broken_archives_raise(spark):
+    records = [r + "\r\n\r\n" for r in warc.records_of("1", "u", prose(1, 9_000), None)]
+    assert len(records) > 2
+    data = "".join(records).encode()
+    assert len(list(warc.parse(gzip.compress(data)))) == len(records)
+    with pytest.raises(warc.WarcError):
+        list(warc.parse(data[:-10]))
+    with pytest.raises(warc.WarcError):
+        list(warc.parse(b"junk" + data))
+    with pytest.raises(warc.WarcError):
+        warc.dechunked(b"5\r\nabc\r\n0\r\n\r\n")
+    rows = [
+        (own, own, n, total, "response", None, None, None, None, b"ab")
+        for own, n, total in (("x", 1, None), ("x", 3, 6))
+    ]
+    df = spark.createDataFrame(rows, warc.RECORD)
+    with pytest.raises(Exception, match="do not make a whole record"):
+        warc.reassembled(df).collect()
+
+
+def test_segments_join_in_order(spark):
+    rows = [
+        ("x:3", "x", 3, 6, "continuation", None, None, None, None, b"ef"),
+        ("x", "x", 1, None, "response", None, "u", None, None, b"ab"),
+        ("x:2", "x", 2, None, "continuation", None, None, None, None, b"cd"),
+        ("y", "y", 0, None, "response", None, "v", None, None, b"whole"),
+    ]
+    found = warc.reassembled(spark.createDataFrame(rows, warc.RECORD)).collect()
+    assert {r["record_id"]: bytes(r["block"]) for r in found} == {"x": b"abcdef", "y": b"whole"}
+
+
+def test_main_text_of_an_article():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+      <nav><ul><li><a href="/">Home</a></ul></nav><div class="ad">Buy</div>
+      <header>Site</header><div id="cookie-notice">Cookies</div>
+      <article><header><h1>Head&amp;line</h1></header><p>One <b>bold</b>
+      word<br>next<p>Two &eacute; &#8364; a&nbsp;b<script>var t="</p>";</script>
+      <aside>Aside</aside><form><input>Mail</form><ul><li>x<li>y</ul>
+      <section class="comments"><p>Reader</p></section></article>
+      <div class="sidebar">Side</div><footer>&copy; me</footer></body></html>"""
+    assert html_text.main_text(page) == "Head&line One bold word next Two é € a b x y"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (None, ""),
+        ("", ""),
+        ("just text", "just text"),
+        ("<p>a<b>b</b>c &lt; d", "abc < d"),
+        ("a < b <3", "a < b <3"),
+        ("<!-- x --><p>y<!-- z", "y"),
+        ("<p title='a>b'>q</p", "q"),
+        ("<main>m</main><p>out</p>", "m"),
+        ("<script>x", ""),
+        ("</p></div>ok", "ok"),
+    ],
+)
+def test_odd_markup(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_templates_are_deduced_per_host(spark):
+    def page(i):
+        return (
+            f"<div class=top><a href=/>Home</a> <a href=/b>News</a></div><div class=lead>Welcome to us</div>"
+            f"<div class=body><p>{prose(i, 30)}</p><p>{prose(i + 100, 20)}</p></div><div class=end>All rights</div>"
+        )
+
+    rows = [(i, f"http://Host.example/{i}", page(i)) for i in range(12)]
+    rows += [(50, "http://other.example/", "<div class=lead>Welcome to us</div><p>text</p>")]
+    rows += [(51, None, None), (51, None, None), (None, "x", "<p>no host</p>")]
+    found = html_text.extract_text(_pages(spark, rows)).collect()
+    assert len(found) == len(rows)
+    texts = {r["id"]: r["text"] for r in found}
+    for i in range(12):
+        assert texts[i] == f"{prose(i, 30)} {prose(i + 100, 20)}"
+    assert texts[50] == "Welcome to us text"
+    assert texts[51] == "" and texts[None] == "no host"
+    assert html_text.extract_text(_pages(spark, [])).count() == 0
+
+
+def test_repeated_lines_in_articles_stay(spark):
+    line = "The same line on every page."
+    rows = [(i, "http://h/", f"<article><p>{prose(i, 20)}</p><p>{line}</p></article>") for i in range(8)]
+    found = html_text.extract_text(_pages(spark, rows)).collect()
+    assert all(r["text"] == f"{prose(r['id'], 20)} {line}" for r in found)

@@ -1,0 +1,279 @@
+"""Operators on single texts against brute force and round trips."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import time
+
+import public_tokenizers
+import pytest
+import tiktoken
+from conftest import odd_documents, prose
+from pyspark.sql import functions as F
+
+from starmart.llm import fingerprints, language, pii, secrets, tokens
+from starmart.llm.bpe import PerfectHash, Tokenizer, read_ranks
+from starmart.llm.trigrams import trigram_query
+
+RANKS = tokens.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+# --- language ---------------------------------------------------------------
+
+
+def test_language_is_learned_from_labels(spark):
+    kinds = {"aa": "bdg", "bb": "klm", "cc": "prs"}
+    rows = []
+    for i in range(120):
+        lang = sorted(kinds)[i % 3]
+        rng = random.Random(i)
+        words = ["".join(rng.choice(kinds[lang]) + rng.choice("aeio") for _ in range(3)) for _ in range(30)]
+        rows.append((i, " ".join(words), lang))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    held = language.held_out(F.col("doc_id"))
+    model = language.train(docs.where(~held))
+    found = language.identify(docs, model).collect()
+    assert all(r["lang_pred"] == r["lang"] and 0 <= r["score"] <= 1 for r in found)
+    assert model.languages == ("aa", "bb", "cc")
+
+
+def test_false_positives_are_corrected():
+    grams, _ = language.ngram_hashes([prose(1, 400)])
+    model = language.LanguageFilter.build({"one": grams, "two": grams[:10]})
+    shares = model.shares([prose(1, 400)])
+    assert shares[0, 0] == 1
+    assert shares[0, 1] < 0.3
+
+
+def test_odd_rows_of_language(odd_docs, no_docs):
+    labelled = odd_docs.withColumn("lang", F.lit("en"))
+    model = language.train(labelled)
+    found = language.identify(odd_docs, model)
+    rows = found.collect()
+    assert found.columns == ["doc_id", "text", "key", "spans", "id", "lang_pred", "score"]
+    assert len(rows) == len(odd_documents())
+    for r in rows:
+        has_letter = any(c.isalpha() for c in r["text"] or "")
+        assert r["lang_pred"] == ("en" if has_letter else "und")
+        assert 0 <= r["score"] <= 1
+    untrained = language.train(no_docs)
+    assert {r["lang_pred"] for r in language.identify(odd_docs, untrained).collect()} == {"und"}
+
+
+# --- personal data ----------------------------------------------------------
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _base_pii(text):
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and pii.luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            yield kind, m.start(), m.end()
+
+
+@pytest.mark.parametrize("letters", ["a.@-b+1234567890 (). ", "a.@-@.", "0123456789- ", "+1(.) 9"])
+def test_base_spans_equal_brute_force(letters):
+    rng = random.Random(letters)
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        found = [s[:3] for s in pii.find_spans(text) if s.kind in pii.BASE_KINDS]
+        assert found == list(_base_pii(text)), text
+
+
+def test_checksums_and_context():
+    kinds = lambda t: [s.kind for s in pii.find_spans(t)]
+    assert kinds("pay 4111 1111 1111 1111 now") == ["card"]
+    assert kinds("pay 4111 1111 1111 1112 now") == []
+    assert kinds("DE89 3704 0044 0532 0130 00") == ["iban"]
+    assert kinds("DE88 3704 0044 0532 0130 00") == []
+    assert kinds("078-05-1120") == [] and kinds("ssn 078-05-1120") == ["ssn"]
+    assert kinds("1.2.1990") == [] and kinds("born 1.2.1990") == ["birth"]
+    plain, near = pii.find_spans("10.0.0.1"), pii.find_spans("host 10.0.0.1")
+    assert near[0].score > plain[0].score
+
+
+def test_masking():
+    text = "write to a@b.org or +1 (136) 555-7479."
+    assert pii.masked(text, pii.find_spans(text)) == "write to [EMAIL] or [PHONE]."
+    assert pii.masked("clean", []) == "clean" and pii.masked(None, []) is None
+
+
+@pytest.mark.parametrize(
+    "text", ["1" * 100_000, "a" * 100_000, "1." * 50_000, "+1" * 50_000, "a@" * 50_000, "A1 " * 40_000]
+)
+def test_pii_is_linear(text):
+    start = time.process_time()
+    pii.find_spans(text)
+    assert time.process_time() - start < 5
+
+
+def test_odd_rows_of_pii(odd_docs, no_docs):
+    found = pii.find_pii(odd_docs, out="spans")
+    assert found.columns == odd_docs.columns
+    assert all(r["spans"] == [] for r in found.collect())
+    assert pii.find_pii(no_docs).count() == 0
+    assert pii.mask_pii(odd_docs).select("text").collect() == odd_docs.select("text").collect()
+
+
+# --- byte-level BPE ---------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer(read_ranks(RANKS.splitlines()), public_tokenizers.PATTERN, memo=500)
+
+
+def test_tokens_equal_the_public_library(tokenizer):
+    known = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokenizer.ranks, special_tokens={}
+    )
+    rng = random.Random(3)
+    letters = "ab c\n\t 's'll1²½é𝒳あ\x1c\x85\xa0 _-'’ßſ٣\r"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += [t for _, t in odd_documents() if t] + ["a" * 20_000, " " * 5_000, "<|endoftext|>"]
+    for text in texts:
+        ids, n, decoded = tokenizer.encoded(text)
+        wanted = known.encode_ordinary(text)
+        assert ids == " ".join(map(str, wanted)) and n == len(wanted), text
+        assert decoded.decode() == text
+        assert tokenizer.decode(wanted).decode() == text
+
+
+def test_perfect_hash_is_minimal():
+    keys = [f"key {i}".encode() for i in range(3000)]
+    found = PerfectHash(keys)
+    assert [found.find(k) for k in keys] == list(range(3000))
+    assert sorted(found.slots) == list(range(3000))
+    assert found.find(b"other") is None and PerfectHash([]).find(b"x") is None
+
+
+def test_odd_rows_of_tokens(odd_docs, no_docs):
+    found = tokens.encode_documents(odd_docs, RANKS, public_tokenizers.PATTERN, out="key")
+    assert found.columns == odd_docs.columns
+    for r in found.collect():
+        assert r["key"]["decoded"] == (r["text"] or "")
+        assert r["key"]["n_tokens"] == len(r["key"]["ids"])
+        joined = " ".join(map(str, r["key"]["ids"]))
+        assert r["key"]["ids_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+    assert tokens.encode_documents(no_docs, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+# --- secrets ----------------------------------------------------------------
+
+SECRETS = {
+    "assign": r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+}
+LEAST = {"assign": 12, "access": 18, "hex": 16}
+
+
+def _base_secrets(text):
+    found = []
+    for place, (kind, pattern) in enumerate(SECRETS.items()):
+        for m in re.finditer(pattern, text):
+            if len(m[1] if kind == "assign" else m[0]) >= LEAST[kind]:
+                found.append((m.start(), place, kind, m.end()))
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+
+
+def test_base_secrets_equal_brute_force(spark):
+    rng = random.Random(6)
+    pieces = ["token", "TOKEN", "api_key", "apikey", "Secret", "passwd", "AKIA", " ", "=", ": ", '"', "'",
+              "0123456789abcdef", "deadbeef", "ABCDEFGH1234", "x_y-z.w/", "é𝒳", "\n"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    texts.append("deadbeefdeadbeef " * 900)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    found = {r["id"]: r["spans"] for r in secrets.find_secrets(docs).collect()}
+    base = {rule.kind for rule in secrets.BASE_RULES}
+    for i, text in enumerate(texts):
+        got = [(s["kind"], s["start"], s["stop"]) for s in found[i] if s["kind"] in base]
+        assert got == _base_secrets(text), text
+
+
+def test_added_rules(spark):
+    text = f"é ghp_{'a1' * 18} xoxb-{'1' * 12} AIza{'x' * 35} -----BEGIN RSA PRIVATE KEY-----"
+    docs = spark.createDataFrame([(1, text)], "doc_id BIGINT, text STRING")
+    spans = secrets.find_secrets(docs).first()["spans"]
+    assert [s["kind"] for s in spans] == ["github", "slack", "google", "pem"]
+    assert text[spans[0]["start"] : spans[0]["stop"]].startswith("ghp_a1")
+
+
+def test_trigram_queries():
+    query = trigram_query(secrets.RULES[0].pattern)
+    assert len(query.clauses) == 1
+    assert frozenset({"tok", "oke", "ken"}) in query.clauses[0]
+    assert trigram_query(r"[0-9a-f]{16,}").clauses == ()
+    assert trigram_query(r"ab[0-9]+cdef.*xyz").clauses == (
+        (frozenset({"cde", "def"}),),
+        (frozenset({"xyz"}),),
+    )
+
+
+def test_odd_rows_of_secrets(odd_docs, no_docs):
+    rows = secrets.find_secrets(odd_docs).collect()
+    assert len(rows) == len(odd_documents()) and all(r["spans"] == [] for r in rows)
+    assert secrets.find_secrets(no_docs).count() == 0
+
+
+def test_native_queries_run_no_python(odd_docs):
+    for df in (secrets.find_secrets(odd_docs), fingerprints.fingerprint_edits(odd_docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# --- fingerprints -----------------------------------------------------------
+
+
+def _shingles(text):
+    w = text.lower().split()
+    return set(zip(*[w[i:] for i in range(5)], strict=False)) if len(w) >= 5 else {tuple(w)} - {()}
+
+
+def test_fingerprints_estimate_likeness(spark):
+    texts = [prose(i, 1500) for i in range(6)]
+    texts[3] = texts[2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    rows = {r["id"]: r for r in fingerprints.fingerprint_edits(docs).collect()}
+    assert rows[2]["fingerprint"] == rows[3]["fingerprint"]
+    assert rows[2]["near_next"] == 1
+    for i, text in enumerate(texts):
+        after = texts[(i + 1) % len(texts)]
+        k = len(text) // 4
+        wanted = text[: len(text) - k] + after[:k]
+        assert rows[i]["edited"] == wanted and rows[i]["n_chars"] == len(text)
+        a, b = _shingles(text), _shingles(wanted)
+        assert abs(rows[i]["near_edited"] - len(a & b) / len(a | b)) < 0.12
+
+
+def test_sketches_merge_and_contain(spark):
+    part, whole = prose(1, 400), prose(1, 400) + " " + prose(2, 6000)
+    df = spark.createDataFrame([(part, whole, prose(2, 6000))], "a STRING, b STRING, c STRING")
+    a, b, c = (fingerprints.sketch(F.col(x)) for x in "abc")
+    row = df.select(
+        fingerprints.containment(a, b).alias("inside"),
+        fingerprints.likeness(a, b).alias("like"),
+        fingerprints.containment(fingerprints.merged(a, c), b).alias("joined"),
+    ).first()
+    assert row["inside"] == 1 and row["like"] < 0.2 and row["joined"] > 0.99
+
+
+def test_odd_rows_of_fingerprints(odd_docs, no_docs):
+    rows = fingerprints.fingerprint_edits(odd_docs).collect()
+    assert len(rows) == len(odd_documents())
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+    assert fingerprints.fingerprint_edits(no_docs).count() == 0
