@@ -40,7 +40,6 @@ from starmart.sources.files import CSV_LOSSLESS, read_csv, read_parquet  # noqa:
 from starmart.sources.shipments import (  # noqa: E402
     SHIPMENT_SPEC,
     shipment_documents,
-    shipment_measures,
     shipment_records,
 )
 
@@ -69,11 +68,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _cases(spark: SparkSession, folder: str) -> DataFrame:
-    return dim_case(shipment_measures(spark, folder), SPEC)
+    return dim_case(shipment_records(spark, folder), SPEC)
 
 
 def _fact(spark: SparkSession, folder: str, geo: str, period: str) -> DataFrame:
-    return fact(shipment_records(spark, folder), _cases(spark, folder), SPEC, geo, period)
+    return fact(shipment_records(spark, folder), None, SPEC, geo, period)
 
 
 def _flatten_nested_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +126,7 @@ def _period_and_status_slices(spark: SparkSession, folder: str) -> DataFrame:
 def _fact_filtered_by_date(spark: SparkSession, folder: str) -> DataFrame:
     raw = shipment_records(spark, folder, day=DAY)
     where = F.col(SPEC.date) == DAY.isoformat()
-    return fact(raw, _cases(spark, folder), SPEC, "district", "daily", where=where)
+    return fact(raw, None, SPEC, "district", "daily", where=where)
 
 
 def _dense_fact_ids(spark: SparkSession, folder: str) -> DataFrame:

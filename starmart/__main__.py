@@ -32,15 +32,16 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--raw", required=True)
     job.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     job.add_argument("--multi-line", action="store_true", help="one document per file")
-    job.add_argument("--infer", action="store_true", help="take the fields found in the documents")
+    job.add_argument(
+        "--declared", action="store_true", help="read the declared fields alone, spelled as declared"
+    )
     job.add_argument("--partitions", type=int)
 
     for name in ("dims", "facts", "all"):
         job = jobs.add_parser(name, help="raw table to warehouse tables")
         job.add_argument("--raw", required=True)
         job.add_argument("--format", choices=["parquet", "csv"], default="parquet")
-        if name != "facts":
-            job.add_argument("--no-key-check", action="store_true")
+        job.add_argument("--no-key-check", action="store_true")
         if name != "dims":
             job.add_argument("--strict-dates", action="store_true")
         _add_warehouse(job)
@@ -79,7 +80,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"starmart {args.job}").getOrCreate()
     if args.job == "ingest":
-        schema = None if args.infer else document_schema(CASE_SPEC)
+        schema = document_schema(CASE_SPEC) if args.declared else None
         ingest(
             spark,
             args.source,
@@ -88,6 +89,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             multi_line=args.multi_line,
             partitions=args.partitions,
             fmt=args.format,
+            spec=CASE_SPEC,
         )
         return
     warehouse = _warehouse(args)
@@ -101,7 +103,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         if args.job == "dims":
             build_dims(raw, CASE_SPEC, warehouse, check_keys=not args.no_key_check)
         elif args.job == "facts":
-            build_facts(raw, CASE_SPEC, warehouse, strict_dates=args.strict_dates)
+            build_facts(
+                raw,
+                CASE_SPEC,
+                warehouse,
+                strict_dates=args.strict_dates,
+                check_keys=not args.no_key_check,
+            )
         else:
             build_all(
                 raw,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starmart.functions.names import quoted
 from starmart.functions.periods import PERIODS
 from starmart.spec import StarSpec
 
+# The declared names of tables, columns and keys.
 GEOS = ("province", "district")
 
 
@@ -85,7 +86,29 @@ def conform_raw(df: DataFrame, spec: StarSpec, from_text: bool = False) -> DataF
         }
         if wrong:
             raise TypeError(f"measures must be integers, got {wrong}")
-    return df.selectExpr(*_casts(raw_schema(spec)))
+    schema = raw_schema(spec)
+    casts = dict(zip(schema.names, _casts(schema), strict=True))
+    day = next(f.dataType for f in df.schema if f.name.lower() == spec.date.lower())
+    if isinstance(day, (T.TimestampType, T.TimestampNTZType)):
+        # A moment counts for its day.
+        name = quoted(spec.date)
+        casts[spec.date] = f"CAST(CAST({name} AS DATE) AS STRING) AS {name}"
+    return df.selectExpr(*casts.values())
+
+
+def conform_some(df: DataFrame, spec: StarSpec) -> DataFrame:
+    """``df`` with the columns of ``spec`` as declared, further ones as they are."""
+    roles = {c.lower() for c in spec.columns}
+    kept = [quoted(c) for c in df.columns if c.lower() not in roles]
+    _require(df, spec.columns, "records")
+    return df.selectExpr(*_casts(raw_schema(spec)), *kept)
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Jobs rely on ANSI mode: a sum that overflows, a text that is no number or
+    an id that does not fit has to raise, not to become another value."""
+    if str(spark.conf.get("spark.sql.ansi.enabled", "true")).lower() != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true")
 
 
 def _casts(schema: T.StructType) -> list[str]:

@@ -8,12 +8,13 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.contracts import GEOS, conform, conform_raw, fact_table
+from starmart.contracts import GEOS, conform, conform_raw, fact_table, require_ansi
 from starmart.functions.periods import PERIODS
 from starmart.operators.lookup import case_lookup
 from starmart.operators.numbering import POSITION, sorted_runs, with_position
 from starmart.operators.totals import unpivot_measures, wide_totals
 from starmart.parallel import in_parallel
+from starmart.plans.dims import dim_case as case_rows
 from starmart.spec import StarSpec
 from starmart.staging import Staging
 
@@ -66,7 +67,7 @@ def fact_rows(
 
 def fact(
     raw: DataFrame,
-    dim_case: DataFrame,
+    dim_case: DataFrame | None,
     spec: StarSpec,
     geo: str,
     period: str,
@@ -74,13 +75,21 @@ def fact(
     staging: Staging | None = None,
 ) -> DataFrame:
     """One fact from the raw table; ``where`` filters the raw rows first.
+    Without ``dim_case`` its rows are those that the raw table gives, known
+    from the staged totals, so the raw table is read once.
 
-    The totals are computed and staged at once. The result reads them, so their
-    folder has to stay until it is used: pass ``staging`` to drop it afterwards.
+    The totals are computed and staged at once, by a few Spark jobs. The result
+    reads them, so their folder has to stay until it is used: pass ``staging``
+    to drop it afterwards.
     """
+    require_ansi(raw.sparkSession)
     records = conform_raw(raw if where is None else raw.where(where), spec)
     staging = staging or Staging(raw.sparkSession)
     totals = period_totals(records, geo, period, spec.date, spec.geo_code(geo), spec.measures)
+    if dim_case is None:
+        runs = sorted_totals(totals, geo, period, staging)
+        lookup = case_lookup(staging.save(case_rows(runs, spec), "dim_case"), spec.statuses)
+        return fact_rows(runs, lookup, spec, geo, period)
     parts = in_parallel(
         staging.spark,
         {

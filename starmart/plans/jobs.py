@@ -12,7 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.contracts import DIMS, FACTS, PRIMARY_KEYS, conform_raw
+from starmart.contracts import (
+    DIMS,
+    FACTS,
+    PRIMARY_KEYS,
+    conform_raw,
+    conform_some,
+    require_ansi,
+)
 from starmart.functions.periods import date_violations
 from starmart.operators.flatten import RECORDS, flatten_records
 from starmart.operators.keys import key_violations
@@ -37,17 +44,23 @@ def ingest(
     spark: SparkSession,
     source: str | list[str],
     target: str,
-    schema: T.StructType | None,
+    schema: T.StructType | None = None,
     records: str = RECORDS,
     multi_line: bool = False,
     partitions: int | None = None,
     fmt: str = "parquet",
+    spec: StarSpec | None = None,
     **options,
 ) -> None:
-    """Lands the records of JSON documents as a flat table, with all their
-    fields. ``partitions`` spreads the rows of a few multi-line files, which
-    come from one task each."""
+    """Lands the records of JSON documents as a flat table with lower-case
+    names: all their fields, as text, or those of ``schema``. With ``spec`` its
+    columns get their declared types, whatever their spelling in the documents;
+    a count that is no integer raises. ``partitions`` spreads the rows of a few
+    multi-line files, which come from one task each."""
+    require_ansi(spark)
     flat = flatten_records(read_documents(spark, source, schema, multi_line), records)
+    if spec is not None:
+        flat = conform_some(flat, spec)
     land(flat if partitions is None else flat.repartition(partitions), target, fmt, **options)
 
 
@@ -55,20 +68,31 @@ def build_dims(
     raw: DataFrame, spec: StarSpec, warehouse: Warehouse, check_keys: bool = True
 ) -> None:
     """Builds and stores the three dimensions."""
+    require_ansi(raw.sparkSession)
     with Staging(raw.sparkSession) as staging:
         _store(_dims(conform_raw(raw, spec), spec, staging, check_keys), warehouse)
 
 
 def build_facts(
-    raw: DataFrame, spec: StarSpec, warehouse: Warehouse, strict_dates: bool = False
+    raw: DataFrame,
+    spec: StarSpec,
+    warehouse: Warehouse,
+    strict_dates: bool = False,
+    check_keys: bool = True,
 ) -> None:
-    """Builds and stores the six facts; reads ``dim_case`` from the warehouse."""
+    """Builds and stores the six facts; reads ``dim_case`` from the warehouse.
+    It has to hold every status of a raw table with rows once, with ids that
+    are neither NULL nor repeated; without ``check_keys`` what does not match is
+    left out by the inner join."""
     spark = raw.sparkSession
+    require_ansi(spark)
     keys = [spec.date, spec.province_code, spec.district_code]
     with Staging(spark) as staging:
         cases = staging.save(warehouse.load(spark, "dim_case"), "dim_case")
         daily = staging.save(_grouped(conform_raw(raw, spec), keys, spec), "daily")
         _check_dates(daily, spec, strict_dates)
+        if check_keys:
+            _check_cases(cases, daily, spec)
         _store(all_facts(daily, cases, spec, staging), warehouse)
 
 
@@ -80,6 +104,7 @@ def build_all(
     strict_dates: bool = False,
 ) -> None:
     """Builds and stores all nine tables from one pass over the raw table."""
+    require_ansi(raw.sparkSession)
     with Staging(raw.sparkSession) as staging:
         daily = staging.save(_grouped(conform_raw(raw, spec), spec.keys, spec), "daily")
         _check_dates(daily, spec, strict_dates)
@@ -141,15 +166,26 @@ def _dims(raw: DataFrame, spec: StarSpec, staging: Staging, check_keys: bool) ->
     return dims
 
 
+def _check_cases(cases: DataFrame, daily: DataFrame, spec: StarSpec) -> None:
+    """``cases`` has a row or so per status; only a few more are ever shown."""
+    _raise_if_any(key_violations(cases, ["id"]), "dim_case has bad ids")
+    known = cases.where(F.col("status").isin(list(spec.statuses)))
+    _raise_if_any(key_violations(known, ["status"]), "dim_case repeats a status")
+    found = known.count()
+    if found != len(spec.statuses) and not daily.isEmpty():
+        raise ContractError(f"dim_case has {found} of the {len(spec.statuses)} statuses")
+
+
 def _check_dates(daily: DataFrame, spec: StarSpec, strict: bool) -> None:
     if strict:
         _raise_if_any(date_violations(daily, spec.date), "dates are not yyyy-MM-dd")
 
 
 def _raise_if_any(violations: DataFrame, message: str) -> None:
-    shown = violations.limit(SHOWN_VIOLATIONS).collect()
+    shown = violations.orderBy(*violations.columns).limit(SHOWN_VIOLATIONS).collect()
     if shown:
-        raise ContractError(f"{message}: {[r.asDict() for r in shown]}")
+        first = f" (first {SHOWN_VIOLATIONS})" if len(shown) == SHOWN_VIOLATIONS else ""
+        raise ContractError(f"{message}{first}: {[r.asDict() for r in shown]}")
 
 
 def _store(tables: dict[str, DataFrame], warehouse: Warehouse) -> None:

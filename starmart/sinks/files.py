@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starmart.functions.names import quoted
+from starmart.sources.files import CSV_LOSSLESS
 
 
 def land(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
-    """Overwrites ``path``. CSV gets a header."""
+    """Overwrites ``path``. CSV gets a header and, unless given, the options
+    with which ``read_csv`` reads every text back; a text with a line break
+    raises, as CSV readers would take it for two rows."""
     if fmt == "csv":
-        options = {"header": True, **options}
+        options = {"header": True, **CSV_LOSSLESS, **options}
+        df = df.select([_one_line(f) for f in df.schema])
     df.write.mode("overwrite").options(**options).format(fmt).save(path)
+
+
+def _one_line(field: T.StructField):
+    column = F.col(quoted(field.name))
+    if not isinstance(field.dataType, T.StringType):
+        return column
+    message = F.lit(f"column {field.name} has a line break; land it as Parquet")
+    broken = column.contains("\n") | column.contains("\r")
+    return F.when(broken, F.raise_error(message)).otherwise(column).alias(field.name)

@@ -87,12 +87,13 @@ class JdbcWarehouse(Warehouse):
         return {"url": self.url, **self.properties}
 
     def write_options(self, table: str) -> dict[str, Any]:
+        """Options given in ``properties`` win over the fields of this class."""
         return {
-            **self._options(),
-            "dbtable": self._name(table),
             "numPartitions": self.connections,
             "batchsize": self.batch_rows,
             "truncate": self.truncate,
+            **self._options(),
+            "dbtable": self._name(table),
         }
 
     def read_options(
@@ -116,7 +117,11 @@ class JdbcWarehouse(Warehouse):
         return options
 
     def _write(self, df: DataFrame, table: str, mode: str) -> None:
-        df.write.format("jdbc").options(**self.write_options(table)).mode(mode).save()
+        options = self.write_options(table)
+        # Spark would coalesce to numPartitions, and all that comes before the
+        # load would run in so few tasks.
+        spread = df.repartition(int(options["numPartitions"]))
+        spread.write.format("jdbc").options(**options).mode(mode).save()
 
     def _reader(self, spark: SparkSession) -> DataFrameReader:
         return spark.read.format("jdbc")

@@ -26,23 +26,30 @@ def document_schema(spec: StarSpec) -> T.StructType:
 def read_documents(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | None,
+    schema: T.StructType | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """JSON documents: one per line, or with ``multi_line`` one per file.
 
     Lines split over tasks, a multi-line file is read by one task, so large
-    input should come as lines. Field names are matched as spelled in
-    ``schema``. None infers the schema, which costs a pass over all files.
+    input should come as lines. Malformed documents and values that do not fit
+    their type raise.
+
+    Without ``schema`` all fields are found by a pass over all files and read as
+    text, so that nothing is lost to a guessed type. With it that pass is
+    saved, but only its fields are read, as they are spelled in it: a field in
+    another spelling is NULL.
     """
-    reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(path)
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+    if schema is None:
+        return reader.option("primitivesAsString", True).json(path)
+    return reader.schema(schema).json(path)
 
 
 def read_csv_text(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
-    """CSV with a header, every column as text."""
+    """CSV with a header, every column as text. Files whose headers differ
+    raise. The options are ``CSV_LOSSLESS`` unless given."""
+    options = {**CSV_LOSSLESS, "enforceSchema": False, **options}
     return spark.read.options(header=True, sep=sep, **options).csv(path)
 
 
@@ -50,7 +57,8 @@ def read_csv(
     spark: SparkSession, path: str | list[str], spec: StarSpec, sep: str = ",", **options
 ) -> DataFrame:
     """The raw table from CSV. Columns are taken by header name, so their order
-    and further columns do not matter; codes stay text."""
+    and further columns do not matter, as long as all files have one header;
+    codes stay text."""
     return conform_raw(read_csv_text(spark, path, sep, **options), spec, from_text=True)
 
 

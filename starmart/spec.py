@@ -6,7 +6,10 @@ from dataclasses import dataclass
 
 
 # Columns of the facts while they are built.
-RESERVED = frozenset({"date", "month", "year", "province_id", "district_id", "status", "total"})
+RESERVED = frozenset(
+    {"date", "month", "year", "province_id", "district_id", "status", "total"}
+    | {"_slot", "_part", "_before", "_position", "_n"}
+)
 
 
 @dataclass(frozen=True)

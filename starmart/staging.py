@@ -14,40 +14,66 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Only a local session may go
-    without: it gets a temporary folder."""
+    without: it gets a temporary folder. On a cluster a path without a scheme is
+    taken from the default file system, which has to be a shared one."""
     context = spark.sparkContext
+    local = context.master.startswith("local")
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
+        if not local:
+            require_shared(spark, folder)
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def _path(spark: SparkSession, folder: str):
+    """The Hadoop path of a folder and its file system."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def require_shared(spark: SparkSession, folder: str) -> None:
+    """Raises if the folder lies in the file system of one machine: executors
+    would write to their own disks, and a later read would miss those files."""
+    _, system = _path(spark, folder)
+    if system.getScheme() == "file":
+        raise RuntimeError(f"{folder} is on each machine's own disk; name a shared file system")
+
+
 class Staging:
     """A folder of its own for the staged tables of one job.
 
     Used as a context manager it drops the folder at the end. Otherwise the
-    tables stay, for lazy results that still read them, until ``drop()``.
+    tables stay, for lazy results that still read them, until ``drop()`` or the
+    end of the application, whichever comes first.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/starmart-{uuid.uuid4().hex}"
+        path, system = _path(spark, self.path)
+        system.deleteOnExit(path)
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Writes and rereads. A table that comes back without a committed write
+        raises, so that missing files cannot pass for missing rows."""
         path = self.folder(f"{name}-{uuid.uuid4().hex[:8]}")
         df.write.parquet(path)
+        done, system = _path(self.spark, f"{path}/_SUCCESS")
+        if not system.exists(done):
+            raise RuntimeError(f"{path} was not committed")
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        path, system = _path(self.spark, self.path)
+        system.delete(path, True)
 
     def __enter__(self) -> Staging:
         return self
