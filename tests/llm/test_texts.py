@@ -209,7 +209,7 @@ def test_added_rules(spark):
     text = f"é ghp_{'a1' * 18} xoxb-{'1' * 12} AIza{'x' * 35} -----BEGIN RSA PRIVATE KEY-----"
     docs = spark.createDataFrame([(1, text)], "doc_id BIGINT, text STRING")
     spans = secrets.find_secrets(docs).first()["spans"]
-    assert [s["kind"] for s in spans] == ["github", "slack", "google", "pem"]
+    assert [s["kind"] for s in spans] == ["github", "hex", "slack", "google", "pem"]
     assert text[spans[0]["start"] : spans[0]["stop"]].startswith("ghp_a1")
 
 
