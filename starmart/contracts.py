@@ -97,11 +97,13 @@ def conform_raw(df: DataFrame, spec: StarSpec, from_text: bool = False) -> DataF
 
 
 def conform_some(df: DataFrame, spec: StarSpec) -> DataFrame:
-    """``df`` with the columns of ``spec`` as declared, further ones as they are."""
-    roles = {c.lower() for c in spec.columns}
+    """``df`` with those columns of ``spec`` that it has as declared, further ones
+    as they are."""
+    have = {c.lower() for c in df.columns}
+    known = T.StructType([f for f in raw_schema(spec) if f.name.lower() in have])
+    roles = {f.name.lower() for f in known}
     kept = [quoted(c) for c in df.columns if c.lower() not in roles]
-    _require(df, spec.columns, "records")
-    return df.selectExpr(*_casts(raw_schema(spec)), *kept)
+    return df.selectExpr(*_casts(known), *kept)
 
 
 def require_ansi(spark: SparkSession) -> None:

@@ -30,7 +30,7 @@ from starmart.plans.facts import all_facts
 from starmart.sinks.files import land
 from starmart.sinks.warehouse import Warehouse
 from starmart.sources.files import read_csv_text, read_documents
-from starmart.spec import StarSpec
+from starmart.spec import CASE_SPEC, StarSpec
 from starmart.staging import Staging
 
 SHOWN_VIOLATIONS = 20
@@ -49,18 +49,17 @@ def ingest(
     multi_line: bool = False,
     partitions: int | None = None,
     fmt: str = "parquet",
-    spec: StarSpec | None = None,
+    spec: StarSpec = CASE_SPEC,
     **options,
 ) -> None:
     """Lands the records of JSON documents as a flat table with lower-case
-    names: all their fields, as text, or those of ``schema``. With ``spec`` its
-    columns get their declared types, whatever their spelling in the documents;
-    a count that is no integer raises. ``partitions`` spreads the rows of a few
+    names: all their fields, or those of ``schema``. The columns of ``spec`` get
+    their declared types, whatever their spelling in the documents, others stay
+    text; a count that is no integer raises. ``partitions`` spreads the rows of a few
     multi-line files, which come from one task each."""
     require_ansi(spark)
     flat = flatten_records(read_documents(spark, source, schema, multi_line), records)
-    if spec is not None:
-        flat = conform_some(flat, spec)
+    flat = conform_some(flat, spec)
     land(flat if partitions is None else flat.repartition(partitions), target, fmt, **options)
 
 

@@ -16,10 +16,12 @@ def connection():
 
 
 def test_each_query_has_a_twin():
-    assert list(entry.queries()) == list(entry.oracle_sql())
+    assert list(entry.oracle_sql()) == [
+        n for n in entry.queries() if n not in entry.CORPUS or n in entry.CORPUS_SQL
+    ]
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_equals_sql(spark, connection, name):
     assert compare(entry.queries()[name](spark, FOLDER), connection, entry.oracle_sql()[name]) > 0
 
