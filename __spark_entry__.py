@@ -124,7 +124,10 @@ def _period_and_status_slices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fact_filtered_by_date(spark: SparkSession, folder: str) -> DataFrame:
-    raw = shipment_records(spark, folder, day=DAY)
+    """One day of a table that was landed in the order of days."""
+    path = Staging(spark).folder("raw")
+    land(shipment_records(spark, folder), path, sort_by=[SPEC.date])
+    raw = read_parquet(spark, path, SPEC)
     where = F.col(SPEC.date) == DAY.isoformat()
     return fact(raw, None, SPEC, "district", "daily", where=where)
 

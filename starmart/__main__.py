@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
         "--declared", action="store_true", help="read the declared fields alone, spelled as declared"
     )
     job.add_argument("--partitions", type=int)
+    job.add_argument("--by-day", action="store_true", help="land in the order of days")
 
     for name in ("dims", "facts", "all"):
         job = jobs.add_parser(name, help="raw table to warehouse tables")
@@ -90,6 +91,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             partitions=args.partitions,
             fmt=args.format,
             spec=CASE_SPEC,
+            by_day=args.by_day,
         )
         return
     warehouse = _warehouse(args)

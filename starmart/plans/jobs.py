@@ -50,17 +50,20 @@ def ingest(
     partitions: int | None = None,
     fmt: str = "parquet",
     spec: StarSpec = CASE_SPEC,
+    by_day: bool = False,
     **options,
 ) -> None:
     """Lands the records of JSON documents as a flat table with lower-case
     names: all their fields, or those of ``schema``. The columns of ``spec`` get
     their declared types, whatever their spelling in the documents, others stay
     text; a count that is no integer raises. ``partitions`` spreads the rows of a few
-    multi-line files, which come from one task each."""
+    multi-line files, which come from one task each. ``by_day`` lands the rows in
+    the order of days, at the price of a sort, so that a filter on days skips files."""
     require_ansi(spark)
     flat = flatten_records(read_documents(spark, source, schema, multi_line), records)
     flat = conform_some(flat, spec)
-    land(flat if partitions is None else flat.repartition(partitions), target, fmt, **options)
+    spread = flat if partitions is None else flat.repartition(partitions)
+    land(spread, target, fmt, sort_by=[spec.date] if by_day else (), **options)
 
 
 def build_dims(

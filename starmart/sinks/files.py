@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,10 +12,20 @@ from starmart.functions.names import quoted
 from starmart.sources.files import CSV_LOSSLESS
 
 
-def land(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
+def land(
+    df: DataFrame, path: str, fmt: str = "parquet", sort_by: Sequence[str] = (), **options
+) -> None:
     """Overwrites ``path``. CSV gets a header and, unless given, the options
     with which ``read_csv`` reads every text back; a text with a line break
-    raises, as CSV readers would take it for two rows."""
+    raises, as CSV readers would take it for two rows.
+
+    ``sort_by`` spreads the rows over files by the values of these columns, so
+    that a filter on them skips files and row groups. Rows of one value follow a
+    hash of all their columns, so a value with many rows fills several files.
+    """
+    if sort_by:
+        names = [quoted(c) for c in df.columns]
+        df = df.sort(*[F.col(quoted(c)) for c in sort_by], F.xxhash64(*names))
     if fmt == "csv":
         options = {"header": True, **CSV_LOSSLESS, **options}
         df = df.select([_one_line(f) for f in df.schema])

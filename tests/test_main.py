@@ -28,7 +28,7 @@ def test_daily_run(spark, tmp_path, document, fmt):
 def test_one_job(spark, tmp_path, document):
     raw, stored = str(tmp_path / "raw"), str(tmp_path / "stored")
     main(["create", "--warehouse", stored])
-    main(["ingest", "--source", document, "--multi-line", "--raw", raw])
+    main(["ingest", "--source", document, "--multi-line", "--raw", raw, "--by-day"])
     main(["all", "--raw", raw, "--warehouse", stored])
     check(spark, stored)
 
