@@ -207,6 +207,8 @@ def identify(
         names, scores = shared.value.predict([t if isinstance(t, str) else None for t in texts])
         return pd.DataFrame({lang_out: names, score_out: scores})
 
+    # A filter on the results would else be evaluated beside them by a second call.
+    predict = predict.asNondeterministic()
     return docs.withColumn("_found", predict(F.col(text_col))).select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in (lang_out, score_out)],
         f"_found.{lang_out}",
