@@ -43,8 +43,8 @@ ROWS = 4
 WORD_BUCKETS = 1 << 18
 MORE_SAMPLES = 120
 LEAST_AGREEMENT = 86
-# Shingle sets that a verifying task keeps.
-KEPT_SETS = 2_000
+# Shingles, in whole sets, that a verifying task keeps: 12 bytes each.
+KEPT_SHINGLES = 2_000_000
 # Texts handled at once, in characters.
 BATCH_CHARS = 1 << 18
 
@@ -209,12 +209,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
 
     def verify(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        held = 0
 
         def shingles(key: bytes, text: str):
+            nonlocal held
             if key not in kept:
-                if len(kept) >= KEPT_SETS:
+                if held >= KEPT_SHINGLES:
                     kept.clear()
+                    held = 0
                 kept[key] = weighted_shingles(words_of([text])[0], idf.value)
+                held += len(kept[key][0])
             return kept[key]
 
         for part in parts:
