@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ def encode_documents(
                 ids, n, decoded = tokenizer.encoded(text if isinstance(text, str) else None)
                 rows.append(
                     (
-                        [int(i) for i in ids.split()] if keep_ids else None,
+                        np.array(ids.split(), np.int32) if keep_ids else None,
                         n,
                         hashlib.sha256(ids.encode()).hexdigest(),
                         decoded.decode("utf-8", "replace") if keep_ids else None,
