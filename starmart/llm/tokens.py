@@ -54,7 +54,7 @@ def encode_documents(
                 ids, n, decoded = tokenizer.encoded(text if isinstance(text, str) else None)
                 rows.append(
                     (
-                        np.array(ids.split(), np.int32) if keep_ids else None,
+                        np.fromstring(ids, np.int32, sep=" ") if keep_ids else None,
                         n,
                         hashlib.sha256(ids.encode()).hexdigest(),
                         decoded.decode("utf-8", "replace") if keep_ids else None,
