@@ -147,3 +147,19 @@ def test_repeated_lines_in_articles_stay(spark):
     rows = [(i, "http://h/", f"<article><p>{prose(i, 20)}</p><p>{line}</p></article>") for i in range(8)]
     found = html_text.extract_text(_pages(spark, rows)).collect()
     assert all(r["text"] == f"{prose(r['id'], 20)} {line}" for r in found)
+
+
+def _texts(spark, rows):
+    found = html_text.extract_text(_pages(spark, rows)).collect()
+    assert len(found) == len(rows)
+    return {r["id"]: r["text"] for r in found}
+
+
+def test_slots_decide_in_articles_too(spark):
+    """The template reaches into articles, and a teaser is not the page."""
+    offer = "<article><p>{}</p><div class=box>Get our letter</div><div class=box>Write to us</div></article>"
+    found = _texts(spark, [(i, "http://h/", offer.format(prose(i, 20))) for i in range(8)])
+    assert found == {i: prose(i, 20) for i in range(8)}
+    page = "<article><p>{}</p></article><div class=story><p>{}</p></div>"
+    rows = [(i, "http://t/", page.format(prose(i, 3), prose(i + 50, 40))) for i in range(8)]
+    assert _texts(spark, rows) == {i: f"{prose(i, 3)} {prose(i + 50, 40)}" for i in range(8)}
