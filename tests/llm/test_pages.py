@@ -163,3 +163,23 @@ def test_slots_decide_in_articles_too(spark):
     page = "<article><p>{}</p></article><div class=story><p>{}</p></div>"
     rows = [(i, "http://t/", page.format(prose(i, 3), prose(i + 50, 40))) for i in range(8)]
     assert _texts(spark, rows) == {i: f"{prose(i, 3)} {prose(i + 50, 40)}" for i in range(8)}
+
+
+def test_republished_and_repeated_pages_keep_their_text(spark):
+    page = "<div class=top>Our site</div><div class=body>{}</div><div class=end>All rights</div>"
+    body = lambda i: "".join(f"<p>{prose(100 * i + k, 15)}</p>" for k in range(4))
+    text = lambda i: " ".join(prose(100 * i + k, 15) for k in range(4))
+    rows = [(i, f"http://h/{i}", page.format(body(i))) for i in range(20)]
+    extra = [(i, f"http://h/{i}", page.format(body(99) + f"<p>{i}</p>")) for i in range(20, 24)]
+    rows += extra + [(50, "http://h/", page.format(body(50)))] * 4
+    found = _texts(spark, rows)
+    assert all(found[i] == text(i) for i in [*range(20), 50])
+    assert all(found[i] == f"{text(99)} {i}" for i in range(20, 24))
+
+
+def test_menus_of_small_sections_are_template(spark):
+    menu = "".join("<div class=row>{s} entry %d</div>" % k for k in range(4))
+    page = lambda i: menu.format(s=f"s{i // 4}") + f"<p>{prose(i, 30)}</p>"
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(120)]
+    assert _texts(spark, rows) == {i: prose(i, 30) for i in range(120)}
+
