@@ -183,3 +183,17 @@ def test_menus_of_small_sections_are_template(spark):
     rows = [(i, f"http://h/{i}", page(i)) for i in range(120)]
     assert _texts(spark, rows) == {i: prose(i, 30) for i in range(120)}
 
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='layout has-sidebar'><article>a b</article></div>", "a b"),
+        ("<div class=widget><p>a b c d e</p></div><p>f</p>", "a b c d e f"),
+        ("<article><h1 class=entry-header>a</h1><section class=social-policy>b</section></article>", "a b"),
+        ("<article>t</article><main>the whole text</main>", "the whole text"),
+        ("<form id=f><nav>x</nav><p>the whole text</p></form>", "the whole text"),
+    ],
+)
+def test_words_in_classes_do_not_empty_a_page(page, text):
+    assert html_text.main_text(page) == text
