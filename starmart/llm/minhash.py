@@ -16,10 +16,10 @@ Buckets are never expanded into all pairs. First each bucket compares its leader
 the member that meets most others over all bands, with the rest; a large group of
 copies mostly ends up in the leader's class that way. Then a member outside the
 leader's class meets members of other classes of its bucket, but only those that
-can be similar: the distance (1 - similarity) is a metric, so their distances to
-the leader may differ by ``1 - SIMILARITY`` at most, and of ``MORE_SAMPLES``
-samples drawn anew ``LEAST_AGREEMENT`` must agree (of texts with similarity 0.8
-fewer agree with a chance of 0.008).
+can be similar. Two exact bounds tell: the distance (1 - similarity) is a metric,
+so their distances to the leader may differ by ``1 - SIMILARITY`` at most; and
+texts share no more weight than their shingles hashed into ``BINS`` bins do. All
+pairs left are verified, in rounds, unless an earlier round put them in a class.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.components import component_labels
@@ -41,8 +41,13 @@ SIMILARITY = 0.8
 BANDS = 10
 ROWS = 4
 WORD_BUCKETS = 1 << 18
-MORE_SAMPLES = 120
-LEAST_AGREEMENT = 86
+# Bins of weights per text, and members of a bucket that one task compares.
+BINS = 256
+BLOCK = 256
+PAIRS_AT_ONCE = 4_096
+# Partners of a text verified in the first round, and their growth per round.
+FIRST_PARTNERS = 4
+MORE_PARTNERS = 8
 # Shingles, in whole sets, that a verifying task keeps: 12 bytes each.
 KEPT_SHINGLES = 2_000_000
 # Texts handled at once, in characters.
@@ -191,17 +196,35 @@ def _signatures(keyed: DataFrame, idf: Broadcast) -> DataFrame:
     return keyed.mapInPandas(sign, "id BIGINT, text_key BINARY, bands ARRAY<BIGINT>")
 
 
-def _more_samples(texts: DataFrame, idf: Broadcast) -> DataFrame:
-    """(text_key, samples) of texts with words."""
+def profile(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weights of a text's shingles summed in BINS bins."""
+    bins = (mix(hashes) % np.uint64(BINS)).astype(np.int64)
+    return np.bincount(bins, weights, BINS).astype(np.float32)
 
-    def draw(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        draws = _draws(MORE_SAMPLES, 21)
+
+def possible(profiles: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether pairs of profiles may be of texts with SIMILARITY: what two bins
+    share is the most that their shingles share. Allows for rounding."""
+    total = profiles.sum(axis=1, dtype=np.float64)
+    out = np.zeros(len(i), bool)
+    for at in range(0, len(i), PAIRS_AT_ONCE):
+        x, y = i[at : at + PAIRS_AT_ONCE], j[at : at + PAIRS_AT_ONCE]
+        both = np.minimum(profiles[x], profiles[y]).sum(axis=1, dtype=np.float64)
+        out[at : at + PAIRS_AT_ONCE] = both >= (SIMILARITY - 1e-4) * (total[x] + total[y] - both)
+    return out
+
+
+def _profiles(texts: DataFrame, idf: Broadcast) -> DataFrame:
+    """(text_key, profile) of texts with words."""
+
+    def bins(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            names = list(_sampled(part["text"].tolist(), idf.value, draws))
-            samples = [n.astype(np.uint32).view(np.int32) for n in names]
-            yield part[["text_key"]].assign(samples=samples)
+            found = []
+            for text in part["text"]:
+                found.append(profile(*weighted_shingles(words_of([text])[0], idf.value)).tobytes())
+            yield part[["text_key"]].assign(profile=found)
 
-    return texts.mapInPandas(draw, "text_key BINARY, samples ARRAY<INT>")
+    return texts.mapInPandas(bins, "text_key BINARY, profile BINARY")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
@@ -236,7 +259,7 @@ def _beyond_leaders(
     state: DataFrame, led: DataFrame, labels: DataFrame, texts: DataFrame, idf: Broadcast
 ) -> DataFrame:
     """(a, b): pairs of members of a bucket in two classes, one of them outside
-    the leader's, that the leader's distances and the samples leave possible."""
+    the leader's, that the leader's distances and the profiles leave possible."""
     label = lambda of, name: labels.select(F.col("node").alias(of), F.col("label").alias(name))
     low, high = F.least("text_key", "leader"), F.greatest("text_key", "leader")
     placed = (
@@ -256,43 +279,102 @@ def _beyond_leaders(
     # Buckets whose members are all in the leader's class are done.
     open_buckets = placed.where("NOT inside").select("bucket").distinct()
     placed = placed.join(open_buckets, "bucket")
-    samples = _more_samples(texts.join(placed.select("text_key").distinct(), "text_key"), idf)
-    buckets = placed.groupBy("text_key").agg(F.collect_set("bucket").alias("buckets"))
-    placed = placed.join(samples, "text_key").join(buckets, "text_key")
-    columns = ("text_key", "sim", "own", "inside", "samples", "buckets")
-    side = lambda df, s: df.select("bucket", *[F.col(c).alias(c + s) for c in columns])
-    agreement = F.size(
-        F.filter(
-            F.zip_with("samples1", "samples2", lambda x, y: x == y), lambda same: same
-        )
+    # A bucket is compared block by block: a member goes to as many tasks as
+    # there are blocks, not to as many as there are members.
+    blocks = placed.groupBy("bucket").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")
+    )
+    profiles = _profiles(texts.join(placed.select("text_key").distinct(), "text_key"), idf)
+    block = F.pmod(F.xxhash64("text_key"), "blocks").cast("int")
+    met = (
+        placed.join(blocks, "bucket")
+        .withColumn("block", block)
+        .join(profiles, "text_key")
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "with"))
+        .withColumn("high", F.greatest("block", "with"))
+        .select("bucket", "low", "high", "block", "text_key", "sim", "own", "inside", "profile")
+        .repartition("bucket", "low", "high")
+        .sortWithinPartitions("bucket", "low", "high")
     )
+
+    def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for part in parts:
+            held = part if held is None else pd.concat([held, part], ignore_index=True)
+            keys = held[["bucket", "low", "high"]].to_numpy()
+            new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            if len(new):  # the last one may go on
+                yield _possible_pairs(held[: new[-1]], np.append(0, new))
+                held = held[new[-1] :].reset_index(drop=True)
+        if held is not None and len(held):
+            yield _possible_pairs(held, np.array([0, len(held)]))
+
     return (
-        side(placed.where("NOT inside"), "1")
-        .join(side(placed, "2"), "bucket")
-        .where(
-            (F.col("own1") != F.col("own2"))
-            & (F.abs(F.col("sim1") - F.col("sim2")) <= 1 - SIMILARITY + 1e-9)
-            # Two outsiders meet once, and a pair in one of its buckets.
-            & (F.col("inside2") | (F.col("text_key1") < F.col("text_key2")))
-            & (F.array_min(F.array_intersect("buckets1", "buckets2")) == F.col("bucket"))
-            & (agreement >= LEAST_AGREEMENT)
-        )
-        .select(
-            F.least("text_key1", "text_key2").alias("a"),
-            F.greatest("text_key1", "text_key2").alias("b"),
-        )
+        met.mapInPandas(compare, "a BINARY, b BINARY")
+        .distinct()
         .join(led.select("a", "b"), ["a", "b"], "left_anti")
     )
 
 
+def _possible_pairs(rows: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+    """(a, b) in each run of rows between two bounds: members of two blocks."""
+    found = []
+    columns = [rows[c].to_numpy() for c in ("low", "high", "block", "text_key", "sim", "own", "inside")]
+    for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+        if end - begin < 2:
+            continue
+        low, high, block, key, sim, own, inside = (c[begin:end] for c in columns)
+        i, j = np.triu_indices(end - begin, 1)
+        wanted = ~(inside[i] & inside[j]) & (np.abs(sim[i] - sim[j]) <= 1 - SIMILARITY + 1e-9)
+        wanted &= np.unique(own, return_inverse=True)[1][i] != np.unique(own, return_inverse=True)[1][j]
+        if low[0] != high[0]:
+            wanted &= block[i] != block[j]
+        i, j = i[wanted], j[wanted]
+        if len(i):
+            held = rows["profile"].iloc[begin:end]
+            profiles = np.stack([np.frombuffer(p, np.float32) for p in held])
+            able = possible(profiles, i, j)
+            ends = ((key[x], key[y]) for x, y in zip(i[able], j[able], strict=True))
+            found += [(min(x, y), max(x, y)) for x, y in ends]
+    return pd.DataFrame(found, columns=["a", "b"])
+
+
+def _in_rounds(
+    pairs: DataFrame, linked: DataFrame, labels: DataFrame, texts: DataFrame, idf: Broadcast,
+    staging: Staging,
+) -> tuple[DataFrame, DataFrame]:
+    """All links and their labels: a round verifies some partners of each text
+    and drops the pairs that then share a class."""
+    partners = FIRST_PARTNERS
+    order = Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b")
+    while not pairs.isEmpty():
+        ranked = staging.save(pairs.withColumn("nth", F.row_number().over(order)), "ranked")
+        now = ranked.where(F.col("nth") <= partners).select("a", "b")
+        found = staging.save(_verified(now, texts, idf), "more")
+        linked = linked.unionByName(found.where(F.col("sim") >= SIMILARITY))
+        labels = component_labels(linked, staging)
+        label = lambda of: labels.select(F.col("node").alias(of), F.col("label").alias(f"{of}_label"))
+        pairs = (
+            ranked.where(F.col("nth") > partners)
+            .join(label("a"), "a", "left")
+            .join(label("b"), "b", "left")
+            .where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
+            .select("a", "b")
+        )
+        pairs = staging.save(pairs, "pairs")
+        partners *= MORE_PARTNERS
+    return linked, labels
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", staging: Staging | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(members, links).
 
     members: one row per row of ``docs``: id, text_key, class_id (the smallest
-    id of the class), class_key (a text_key that names the class), class_texts (distinct texts in it), n_links (verified
-    links of its text with other texts). Equal texts share a class, whether
+    id of the class), class_key (a text_key that names the class), class_texts (distinct texts in it), n_verified_links (those of
+    its links with other texts that were verified; a class needs not all). Equal texts share a class, whether
     linked or not. Null and blank texts have no shingles: each such row is a
     class of its own, with a null class_key. Rows that repeat an id count as rows of their own; a null
     id is kept, and a class whose ids are all null has a null class_id.
@@ -352,14 +434,11 @@ def near_duplicates(
     )
     linked = led.where(F.col("sim") >= SIMILARITY)
     labels = component_labels(linked, staging)
-    more = staging.save(
-        _verified(_beyond_leaders(state, led, labels, needed, idf), needed, idf), "more"
-    )
-    links = linked.unionByName(more.where(F.col("sim") >= SIMILARITY))
-    labels = component_labels(links, staging)
+    beyond = staging.save(_beyond_leaders(state, led, labels, needed, idf), "pairs")
+    links, labels = _in_rounds(beyond, linked, labels, needed, idf, staging)
 
     ends = links.select(F.col("a").alias("text_key")).unionAll(links.select("b"))
-    degrees = ends.groupBy("text_key").agg(F.count(F.lit(1)).alias("n_links"))
+    degrees = ends.groupBy("text_key").agg(F.count(F.lit(1)).alias("n_verified_links"))
     named = texts.join(labels.withColumnRenamed("node", "text_key"), "text_key", "left").select(
         "text_key", "rep", F.coalesce("label", "text_key").alias("label")
     )
@@ -376,7 +455,7 @@ def near_duplicates(
             "class_id",
             F.col("label").alias("class_key"),
             "class_texts",
-            F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+            F.coalesce("n_verified_links", F.lit(0).cast("bigint")).alias("n_verified_links"),
         )
     )
     blank = rows.where(F.size("bands") == 0).select(
@@ -385,7 +464,7 @@ def near_duplicates(
         F.col("id").alias("class_id"),
         F.lit(None).cast("binary").alias("class_key"),
         F.lit(1).cast("bigint").alias("class_texts"),
-        F.lit(0).cast("bigint").alias("n_links"),
+        F.lit(0).cast("bigint").alias("n_verified_links"),
     )
     return staging.save(members.unionByName(blank), "members"), links
 

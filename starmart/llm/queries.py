@@ -36,13 +36,13 @@ def _count(spans: Column, kind: str) -> Column:
 
 
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per document: its class, the distinct texts and links it has."""
+    """A row per document: its class, the distinct texts in it, and its verified links."""
     members, _ = minhash.near_duplicates(table(spark, folder, "documents"))
     return members.select(
         F.col("id").alias("doc_id"),
         "class_id",
         "class_texts",
-        "n_links",
+        "n_verified_links",
         F.lower(F.hex("text_key")).alias("text_key"),
     )
 

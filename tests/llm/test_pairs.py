@@ -200,3 +200,70 @@ def test_decontamination_over_blocks_and_odd_rows(spark, odd_docs, no_docs, monk
     assert {(r["id"], r["item_id"]) for r in found} == {(1, 1), (2, 1), (None, None)}
     assert decontaminate.benchmark_hits(no_docs, bench).count() == 0
     assert decontaminate.benchmark_hits(odd_docs, bench.where("false")).count() == 0
+
+
+def test_members_that_no_leader_links_all_meet(spark):
+    """The exact bounds never drop a similar pair, whatever it shares with a leader."""
+    rng = random.Random(11)
+    idf = np.full(minhash.WORD_BUCKETS, 1.5, np.float32)
+    near = 0
+    for i in range(60):
+        base = prose(500 + i, rng.randint(40, 400))
+        texts = [base, *(edited(base, rng.choice((45, 48, 50, 55, 70))) for _ in range(4))]
+        sets = [minhash.weighted_shingles(words_of([t])[0], idf) for t in texts]
+        profiles = np.stack([minhash.profile(*s) for s in sets])
+        a, b = np.triu_indices(len(texts), 1)
+        able = minhash.possible(profiles, a, b)
+        for x, y, possible in zip(a, b, able, strict=True):
+            if minhash.weighted_jaccard(sets[x], sets[y]) >= minhash.SIMILARITY:
+                near += 1
+                assert possible
+    assert near > 100
+    other = np.stack([minhash.profile(*minhash.weighted_shingles(words_of([prose(i, 200)])[0], idf)) for i in (1, 2)])
+    assert not minhash.possible(other, np.array([0]), np.array([1])).any()
+
+
+def test_pairs_of_a_bucket_are_verified_until_none_is_left(spark, monkeypatch):
+    """One bucket for all, blocks of few rows: classes as by brute force."""
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    texts = []
+    for i in range(8):
+        base = prose(700 + i, 150)
+        texts += [edited(base, every) for every in (60, 65, 70, 75, 80)]
+    docs = _docs(spark, texts)
+    keyed = docs.selectExpr("unhex(md5(text)) AS text_key", "text")
+    counts, total = minhash.word_frequencies(docs, "text")
+    idf = spark.sparkContext.broadcast(minhash.inverse_frequencies(counts, total))
+    sets = {
+        bytes(r["text_key"]): minhash.weighted_shingles(words_of([r["text"]])[0], idf.value)
+        for r in keyed.collect()
+    }
+    keys = sorted(sets)
+    leader = keys[0]
+    state = [(1, bytearray(k), bytearray(leader)) for k in keys[1:]]
+    state = spark.createDataFrame(state, "bucket BIGINT, text_key BINARY, leader BINARY")
+    led = [
+        (bytearray(leader), bytearray(k), minhash.weighted_jaccard(sets[leader], sets[k]))
+        for k in keys[1:]
+    ]
+    led = spark.createDataFrame(led, "a BINARY, b BINARY, sim DOUBLE")
+    staging = Staging(spark)
+    linked = led.where(led["sim"] >= minhash.SIMILARITY)
+    labels = component_labels(linked, staging)
+    pairs = staging.save(minhash._beyond_leaders(state, led, labels, keyed, idf), "pairs")
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in pairs.collect()}
+    first = {bytes(r["node"]) for r in labels.collect()}
+    similar = {
+        (a, b)
+        for a in keys[1:]
+        for b in keys
+        if a < b
+        and not (a in first and b in first)
+        and minhash.weighted_jaccard(sets[a], sets[b]) >= minhash.SIMILARITY
+    }
+    assert similar and similar <= got
+    links, _ = minhash._in_rounds(pairs, linked, labels, keyed, idf, staging)
+    assert all(r["sim"] >= minhash.SIMILARITY for r in links.collect())
+    labels = component_labels(links, staging)
+    found = {bytes(r["node"]): bytes(r["label"]) for r in labels.collect()}
+    assert all(found[a] == found[b] for a, b in similar)
