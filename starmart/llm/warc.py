@@ -17,9 +17,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.staging import Staging
+
 # Blocks are cut after so many code points, chunks after so many.
 SEGMENT_CHARS = 16_384
 CHUNK_CHARS = 4_096
@@ -28,7 +30,8 @@ RECORDS_PER_FILE = 1_000
 LEAST_SHARED_BYTES = 100
 _END = "\r\n\r\n"
 _DATE = "2024-01-01T00:00:00Z"
-_ID = "<urn:starmart:page:{}>"
+# A part that tells rows with one page id apart, and the page id.
+_ID = "<urn:starmart:page{}:{}>"
 _HEADER = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
 
 RECORD = (
@@ -74,11 +77,14 @@ def _record(kind: str, record_id: str, block: str, **headers) -> str:
     return f"WARC/1.1\r\n{head}Content-Length: {len(block.encode())}\r\n\r\n{block}"
 
 
-def records_of(name: str, uri: str, payload: str, first: str | None) -> list[str]:
+def records_of(
+    name: str, uri: str, payload: str, first: str | None, part: str = "", first_part: str = ""
+) -> list[str]:
     """The records of one page, without their closing line ends: a revisit of
-    ``first``, or a response in one or more segments."""
+    ``first``, or a response in one or more segments. The parts tell the page
+    and the first one from others with their ids."""
     data = payload.encode("utf-8", "surrogatepass")
-    own = _ID.format(name)
+    own = _ID.format(part, name)
     common = {
         # A line end would close the header.
         "WARC_Target_URI": re.sub(r"[\r\n]+", " ", uri),
@@ -86,7 +92,7 @@ def records_of(name: str, uri: str, payload: str, first: str | None) -> list[str
         "X_Payload_Length": len(data),
     }
     if first is not None:
-        return [_record("revisit", own, "", WARC_Refers_To=_ID.format(first), **common)]
+        return [_record("revisit", own, "", WARC_Refers_To=_ID.format(first_part, first), **common)]
     block = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
         "Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -114,42 +120,68 @@ def write_warc(
     payloads of LEAST_SHARED_BYTES or more those with the smallest id hold the
     payload (each row, if that id repeats), others revisit it; smaller payloads
     are all held. Null html is an empty payload, a null id is written as empty
-    and never the smallest unless all are."""
+    and never the smallest unless all are. Record identifiers are unique: those
+    of rows that share an id, or have none, hold the digest and a number."""
     rows = pages.select(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(url_col), F.lit("")).alias("url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
-    ).withColumn("digest", F.unhex(F.sha2(F.col("html"), 256)))
+    )
+    again = rows.groupBy(F.col("id").alias("known")).agg(F.count(F.lit(1)).alias("n"))
+    # Written first: Spark then knows whether they are small enough to broadcast,
+    # before it shuffles any html.
+    staging = Staging(pages.sparkSession)
+    again = staging.save(again.where("n > 1").select("known"), "again")
+    same = F.col("id").eqNullSafe(F.col("known"))
+    digest = F.unhex(F.sha2(F.col("html"), 256))
+    # Only rows that share an id are shuffled to be numbered.
+    nth = F.row_number().over(Window.partitionBy("id", "digest").orderBy("url"))
+    number = F.when(nth > 1, F.concat(F.lit("."), nth.cast("string"))).otherwise(F.lit(""))
+    alike = rows.join(again, same, "left_semi").withColumn("digest", digest)
+    alike = alike.withColumn("part", F.concat(F.lit("-"), F.hex("digest"), number))
+    single = rows.join(again, same, "left_anti").withColumn("digest", digest)
+    named = single.withColumn("part", F.lit("")).unionByName(alike)
+    rows = rows.withColumn("digest", digest)
     first = (
         rows.where(F.octet_length("html") >= LEAST_SHARED_BYTES)
         .groupBy(F.col("digest").alias("of"))
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .drop("n")
-    )
-    held = rows.join(first, F.col("digest") == F.col("of"), "left").select(
+        .join(again, F.col("first").eqNullSafe(F.col("known")), "left")
+        .withColumn(
+            "first_part",
+            # The first of its rows; if first is null, all rows hold the payload.
+            F.when(F.col("first").isNotNull() & F.col("known").isNotNull(),
+                   F.concat(F.lit("-"), F.hex("of"))).otherwise(F.lit("")),
+        )
+        .drop("known")
+    )
+    first = staging.save(first, "first")
+    held = named.join(first, F.col("digest") == F.col("of"), "left").select(
         "id", "url", F.when(F.col("id").eqNullSafe(F.col("first")), None)
         .otherwise(F.col("first")).alias("first"),
-        "html",
+        "html", "part", "first_part",
     )
 
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             found = []
-            for name, url, first_id, html in part.itertuples(index=False):
-                found += records_of(name, url, html, first_id or None)
+            for name, url, first_id, html, own, first_part in part.itertuples(index=False):
+                found += records_of(name, url, html, first_id or None, own, first_part or "")
             yield pd.DataFrame({"record": found})
 
     name = F.coalesce(F.col("id").cast("string"), F.lit(""))
     texts = held.select(
         name.alias("id"), "url", F.coalesce(F.col("first").cast("string"), F.lit("")).alias("first"),
         # A revisit needs digest and length alone, but those are of the payload.
-        "html",
+        "html", "part", F.coalesce("first_part", F.lit("")).alias("first_part"),
     )
     records = texts.mapInPandas(write, "record STRING")
     records.write.options(
         lineSep=_END, compression="gzip", maxRecordsPerFile=RECORDS_PER_FILE
     ).text(path)
+    staging.drop()
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -299,4 +331,4 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def page_id_of(record_id):
     """The page id in a record identifier of ``write_warc``."""
-    return F.nullif(F.regexp_extract(record_id, r"^<urn:starmart:page:([^:>]*)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(record_id, r"^<urn:starmart:page(?:-[^:]*)?:([^:>]*)", 1), F.lit(""))

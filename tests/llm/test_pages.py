@@ -197,3 +197,21 @@ def test_menus_of_small_sections_are_template(spark):
 )
 def test_words_in_classes_do_not_empty_a_page(page, text):
     assert html_text.main_text(page) == text
+
+
+def test_long_pages_with_one_id_or_none_come_back(spark):
+    a, b, c, d = (prose(i, 12_000) for i in range(4))
+    held = [(8, a), (8, a), (8, b), (None, c), (None, c), (None, d)]
+    rows = [(i, f"http://a/{h[:9]}", h) for i, h in [*held, (9, a), (10, b)]]
+    path, found = _roundtrip(spark, rows)
+    assert warc.read_records(spark, path).where("segment > 1").count() > len(held)
+    assert len(found) == len(rows) == len({r["record_id"] for r in found})
+    got = [bytes(r["payload"]).decode() for r in found if r["record_type"] == "response"]
+    assert sorted(got) == sorted(h for _, h in held)
+    digests = {r["record_id"]: r["payload_digest"] for r in found if r["payload"] is not None}
+    revisits = [r for r in found if r["record_type"] == "revisit"]
+    assert len(revisits) == 2
+    assert all(digests[r["refers_to"]] == r["payload_digest"] for r in revisits)
+    ids = spark.createDataFrame([(r["record_id"],) for r in found], "r STRING")
+    ids = [r[0] for r in ids.select(warc.page_id_of(ids["r"])).collect()]
+    assert sorted(i or "" for i in ids) == ["", "", "", "10", "8", "8", "8", "9"]
