@@ -35,7 +35,7 @@ def ordered(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
 
 
-SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT"}
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN"}
 
 
 def compare(spark_df, connection, sql: str) -> int:
