@@ -147,6 +147,10 @@ def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         fingerprints.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        "in_edited",
+        "of_edited",
+        "in_next",
+        "of_next",
     )
 
 

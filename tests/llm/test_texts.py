@@ -260,6 +260,70 @@ def test_fingerprints_estimate_likeness(spark):
         assert abs(rows[i]["near_edited"] - len(a & b) / len(a | b)) < 0.12
 
 
+def _edits(docs):
+    """Each distinct document and the next one's text, by id, null first."""
+    key = lambda d: hashlib.md5(f"{'' if d[0] is None else d[0]}|{d[1]}".encode()).digest()
+    distinct = {(i, t or "") for i, t in docs}
+    order = sorted(distinct, key=lambda d: (d[0] is not None, d[0] or 0, key(d)))
+    after = dict(zip(order, order[1:] + order[:1], strict=True))
+    return [(i, t or "", after[i, t or ""][1]) for i, t in docs]
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_edited_texts_equal_brute_force(spark, conf, partitions):
+    conf("spark.sql.shuffle.partitions", partitions)
+    docs = odd_documents() + [(i % 60, prose(i % 45, 1 + i % 9)) for i in range(150)]
+    docs += [(None, None), (3, None)] * 3
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(5)
+    found = fingerprints.fingerprint_edits(df).collect()
+    wanted = [(i, len(t), t[: len(t) - len(t) // 4] + n[: len(t) // 4]) for i, t, n in _edits(docs)]
+    assert sorted(map(str, wanted)) == sorted(
+        str((r["id"], r["n_chars"], r["edited"])) for r in found
+    )
+
+
+def test_a_sketch_holds_exactly_the_hashes_below_the_threshold(spark):
+    """All hashes of the five-word shingles come from a plain explode."""
+    texts = [prose(1, 300), "One two THREE", "", " a\tb \n c d  e f ", prose(2, 5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
+    pieces = [(i, *s) for i, t in enumerate(texts) for s in _shingles(t)]
+    pieces = [(*p, *[None] * (6 - len(p))) for p in pieces]
+    parts = spark.createDataFrame(pieces, "i INT, a STRING, b STRING, c STRING, d STRING, e STRING")
+    word = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(c))
+    parts = parts.select("i", F.xxhash64(*map(word, "abcde")).alias("h"))
+    for bits in (1, 2, 3):
+        found = {r["i"]: r["s"] for r in df.select("i", fingerprints.sketch(F.col("text"), bits).alias("s")).collect()}
+        for i in range(len(texts)):
+            kept = parts.where((F.col("i") == i) & (F.expr(f"h >= 0 AND h < shiftright({2**63 - 1}, {bits - 1})")))
+            assert found[i] == sorted({r["h"] for r in kept.collect()})
+
+
+def test_likeness_and_containment_follow_from_the_sketches(spark):
+    docs = [(i, prose(i, 30 * (1 + i % 4) ** 2)) for i in range(12)] + [(12, "one"), (13, "two"), (14, "two")]
+    docs += [(15, prose(1, 120)), (16, prose(1, 120) + " " + prose(2, 2_000))]
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    rows = {r["id"]: r for r in fingerprints.fingerprint_edits(df).collect()}
+    assert rows[15]["in_next"] == 1 and rows[15]["of_next"] < 0.2
+    for i, text, after in _edits(docs):
+        r, other = rows[i], rows[(i + 1) % 17]
+        for near, inside, of, b, same in (
+            ("near_edited", "in_edited", "of_edited", r["edited_fingerprint"], text == r["edited"]),
+            ("near_next", "in_next", "of_next", other["fingerprint"], text == after),
+        ):
+            a, b = set(r["fingerprint"]), set(b)
+            assert r[near] == (len(a & b) / len(a | b) if a | b else float(same))
+            assert r[inside] == (len(a & b) / len(a) if a else 0)
+            assert r[of] == (len(a & b) / len(b) if b else 0)
+
+
+def test_texts_are_shuffled_once(spark):
+    """One exchange carries texts, that into the buckets of the order of ids."""
+    docs = spark.createDataFrame([(i, prose(i, 20)) for i in range(50)], "doc_id BIGINT, text STRING")
+    plan = fingerprints.fingerprint_edits(docs)._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert re.findall(r"Exchange (\w+)\((\w+)", physical) == [("hashpartitioning", "bucket")]
+
+
 def test_sketches_merge_and_contain(spark):
     part, whole = prose(1, 400), prose(1, 400) + " " + prose(2, 6000)
     df = spark.createDataFrame([(part, whole, prose(2, 6000))], "a STRING, b STRING, c STRING")
