@@ -34,6 +34,7 @@ from starmart.operators.keys import key_violations  # noqa: E402
 from starmart.operators.totals import unpivot_measures  # noqa: E402
 from starmart.plans.facts import period_totals, sorted_totals, status_rows  # noqa: E402
 from starmart.plans.jobs import row_counts  # noqa: E402
+from starmart.plans.refresh import StarState, refresh_all  # noqa: E402
 from starmart.sinks.files import land  # noqa: E402
 from starmart.sinks.warehouse import FileWarehouse  # noqa: E402
 from starmart.sources.files import CSV_LOSSLESS, read_csv, read_parquet  # noqa: E402
@@ -60,6 +61,7 @@ else:
 SPEC = SHIPMENT_SPEC
 DAY = date(1999, 6, 30)
 PREVIEW_ROWS = 20
+REFRESHES = 3
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -168,8 +170,22 @@ def _two_jobs(spark: SparkSession, folder: str) -> FileWarehouse:
     return warehouse
 
 
+def _refreshed(spark: SparkSession, folder: str) -> tuple[StarState, FileWarehouse]:
+    """Raw rows in three steps, each with every third day or so, and published."""
+    staging = Staging(spark)
+    raw = staging.save(shipment_records(spark, folder), "raw")
+    state = StarState(staging.folder("state"), SPEC)
+    warehouse = FileWarehouse(staging.folder("warehouse"))
+    step = F.crc32(F.col(SPEC.date).cast("binary")) % REFRESHES
+    for i in range(REFRESHES - 1):
+        state.refresh(raw.where(step == i))
+    refresh_all(raw.where(step == REFRESHES - 1), state, warehouse)
+    return state, warehouse
+
+
 def _fact_totals(spark: SparkSession, warehouse: FileWarehouse) -> DataFrame:
     """Rows, largest id and total by fact table and status, from stored tables."""
+    warehouse = warehouse.pinned(spark)
     cases = warehouse.load(spark, "dim_case").select(F.col("id").alias("case_id"), "status")
     result = None
     for table in FACTS:
@@ -211,6 +227,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_violations": _key_violations,
         "one_job_fact_totals": lambda s, folder: _fact_totals(s, _one_job(s, folder)),
         "two_job_fact_totals": lambda s, folder: _fact_totals(s, _two_jobs(s, folder)),
+        "refreshed_fact_district_daily": lambda s, folder: _refreshed(s, folder)[0].facts(s)[
+            "fact_district_daily"
+        ],
+        "refreshed_fact_totals": lambda s, folder: _fact_totals(s, _refreshed(s, folder)[1]),
         "star_row_counts": lambda s, folder: row_counts(s, _one_job(s, folder), TABLES),
         **CORPUS,
     }
@@ -337,6 +357,8 @@ def oracle_sql() -> dict[str, str]:
           HAVING count(*) > 1 OR tanggal IS NULL OR kode_kab IS NULL""",
         "one_job_fact_totals": _fact_totals_sql(),
         "two_job_fact_totals": _fact_totals_sql(),
+        "refreshed_fact_district_daily": _WITH + _fact_sql("district", "daily"),
+        "refreshed_fact_totals": _fact_totals_sql(),
         "star_row_counts": _row_counts_sql(),
         **CORPUS_SQL,
     }

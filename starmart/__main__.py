@@ -4,6 +4,7 @@
     python -m starmart dims --raw /lake/raw --warehouse /warehouse
     python -m starmart facts --raw /lake/raw --warehouse /warehouse
     python -m starmart all --raw /lake/raw --jdbc connection.json
+    python -m starmart refresh --raw /lake/new --state /lake/state --warehouse /warehouse
 
 ``connection.json`` holds ``url`` and JDBC properties such as user, password and
 driver, and optionally ``schema``. A job that fails ends with an error code.
@@ -18,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from starmart.plans.jobs import build_all, build_dims, build_facts, copy_csv, ingest
+from starmart.plans.refresh import StarState, refresh_all
 from starmart.sinks.warehouse import FileWarehouse, JdbcWarehouse, Warehouse
 from starmart.sources.files import document_schema, read_csv, read_parquet
 from starmart.spec import CASE_SPEC
@@ -38,8 +40,13 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--partitions", type=int)
     job.add_argument("--by-day", action="store_true", help="land in the order of days")
 
-    for name in ("dims", "facts", "all"):
+    for name in ("dims", "facts", "all", "refresh"):
         job = jobs.add_parser(name, help="raw table to warehouse tables")
+        if name == "refresh":
+            job.add_argument("--state", required=True, help="folder of the totals so far")
+            job.add_argument(
+                "--replace-days", action="store_true", help="new rows replace those of their days"
+            )
         job.add_argument("--raw", required=True)
         job.add_argument("--format", choices=["parquet", "csv"], default="parquet")
         job.add_argument("--no-key-check", action="store_true")
@@ -62,6 +69,9 @@ def _add_warehouse(job: argparse.ArgumentParser) -> None:
     where.add_argument("--warehouse", help="folder of Parquet tables")
     where.add_argument("--jdbc", help="JSON file with the connection")
     job.add_argument("--truncate", action="store_true", help="keep JDBC table definitions")
+    job.add_argument("--connections", type=int, help="JDBC connections of a load")
+    job.add_argument("--batch-rows", type=int, help="rows of a JDBC batch")
+    job.add_argument("--no-row-check", action="store_true", help="do not count rows after a JDBC load")
 
 
 def _warehouse(args: argparse.Namespace) -> Warehouse:
@@ -69,11 +79,14 @@ def _warehouse(args: argparse.Namespace) -> Warehouse:
         return FileWarehouse(args.warehouse)
     with open(args.jdbc, encoding="utf-8") as file:
         connection = json.load(file)
+    given = {"connections": args.connections, "batch_rows": args.batch_rows}
     return JdbcWarehouse(
         connection.pop("url"),
         schema=connection.pop("schema", None),
         properties=connection,
         truncate=args.truncate,
+        check_rows=not args.no_row_check,
+        **{name: value for name, value in given.items() if value is not None},
     )
 
 
@@ -112,6 +125,15 @@ def main(argv: Sequence[str] | None = None) -> None:
                 strict_dates=args.strict_dates,
                 check_keys=not args.no_key_check,
             )
+        elif args.job == "refresh":
+            refresh_all(
+                raw,
+                StarState(args.state, CASE_SPEC),
+                warehouse,
+                replace_days=args.replace_days,
+                check_keys=not args.no_key_check,
+                strict_dates=args.strict_dates,
+            )
         else:
             build_all(
                 raw,

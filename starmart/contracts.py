@@ -57,6 +57,20 @@ PRIMARY_KEYS = {
 }
 
 
+# The largest id that the declared type of ids holds.
+MOST_IDS = (1 << 31) - 1
+
+
+class ContractError(ValueError):
+    """A table breaks its contract."""
+
+
+def require_capacity(table: str, rows: int) -> None:
+    """Raises if ids from 1 to ``rows`` do not fit their declared type."""
+    if rows > MOST_IDS:
+        raise ContractError(f"{table} needs {rows} ids, more than an INT holds")
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Column order and types of a star table. Values that do not fit raise."""
     schema = TABLES[table]

@@ -8,7 +8,14 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.contracts import GEOS, conform, conform_raw, fact_table, require_ansi
+from starmart.contracts import (
+    GEOS,
+    conform,
+    conform_raw,
+    fact_table,
+    require_ansi,
+    require_capacity,
+)
 from starmart.functions.periods import PERIODS
 from starmart.operators.lookup import case_lookup
 from starmart.operators.numbering import POSITION, sorted_runs, with_position
@@ -38,20 +45,29 @@ def period_totals(
 
 
 def sorted_totals(totals: DataFrame, geo: str, period: str, staging: Staging) -> DataFrame:
-    """``period_totals`` staged in the order of period and place."""
+    """``period_totals`` staged in the order of period and place. Raises if the
+    ids that follow from them do not fit, before anything is made of them."""
     keys = [PERIODS[period].column, geo_column(geo)]
-    return sorted_runs(totals, keys, staging, fact_table(geo, period))
+    runs = sorted_runs(totals, keys, staging, fact_table(geo, period))
+    measures = len(totals.columns) - len(keys)
+    require_capacity(fact_table(geo, period), runs.count() * measures)
+    return runs
 
 
 def status_rows(runs: DataFrame, spec: StarSpec, geo: str, period: str) -> DataFrame:
-    """The long form of ``sorted_totals`` with the fact id.
+    """The long form of ``sorted_totals`` with the fact id."""
+    return placed_status_rows(with_position(runs), spec, geo, period)
+
+
+def placed_status_rows(placed: DataFrame, spec: StarSpec, geo: str, period: str) -> DataFrame:
+    """The long form of totals that have their place, with the fact id.
 
     Every period and place has all statuses, so the id in the order of period,
     place and status follows from the place of the wide row: the sort handles
     one row per period and place, not one per status.
     """
     ids = [POSITION, geo_column(geo), PERIODS[period].column]
-    long = unpivot_measures(with_position(runs), ids, spec.statuses, value="total")
+    long = unpivot_measures(placed, ids, spec.statuses, value="total")
     status_place = F.array_position(F.array(*[F.lit(s) for s in spec.statuses]), F.col("status"))
     return long.withColumn("id", F.col(POSITION) * len(spec.statuses) + status_place).drop(POSITION)
 

@@ -1,7 +1,8 @@
 """The jobs: land the source, build the dimensions, build the facts.
 
 Each job reads the raw table once. Errors raise, and nothing is written to the
-warehouse before all tables are built and checked.
+warehouse before all tables are summed, sorted and checked. A file warehouse
+then changes all tables of the job at once or none.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.contracts import (
-    DIMS,
-    FACTS,
     PRIMARY_KEYS,
+    ContractError,
     conform_raw,
     conform_some,
     require_ansi,
@@ -36,10 +36,6 @@ from starmart.staging import Staging
 SHOWN_VIOLATIONS = 20
 
 
-class ContractError(ValueError):
-    """A table breaks its contract."""
-
-
 def ingest(
     spark: SparkSession,
     source: str | list[str],
@@ -72,7 +68,7 @@ def build_dims(
     """Builds and stores the three dimensions."""
     require_ansi(raw.sparkSession)
     with Staging(raw.sparkSession) as staging:
-        _store(_dims(conform_raw(raw, spec), spec, staging, check_keys), warehouse)
+        warehouse.publish(checked_dims(conform_raw(raw, spec), spec, staging, check_keys))
 
 
 def build_facts(
@@ -92,10 +88,10 @@ def build_facts(
     with Staging(spark) as staging:
         cases = staging.save(warehouse.load(spark, "dim_case"), "dim_case")
         daily = staging.save(_grouped(conform_raw(raw, spec), keys, spec), "daily")
-        _check_dates(daily, spec, strict_dates)
+        check_dates(daily, spec, strict_dates)
         if check_keys:
             _check_cases(cases, daily, spec)
-        _store(all_facts(daily, cases, spec, staging), warehouse)
+        warehouse.publish(all_facts(daily, cases, spec, staging))
 
 
 def build_all(
@@ -109,17 +105,17 @@ def build_all(
     require_ansi(raw.sparkSession)
     with Staging(raw.sparkSession) as staging:
         daily = staging.save(_grouped(conform_raw(raw, spec), spec.keys, spec), "daily")
-        _check_dates(daily, spec, strict_dates)
+        check_dates(daily, spec, strict_dates)
         cases = dim_case(daily, spec)
         built = in_parallel(
             staging.spark,
             {
-                "dims": partial(_dims, daily, spec, staging, check_keys),
+                "dims": partial(checked_dims, daily, spec, staging, check_keys),
                 "facts": partial(all_facts, daily, cases, spec, staging),
             },
             2,
         )
-        _store(built["dims"] | built["facts"], warehouse)
+        warehouse.publish(built["dims"] | built["facts"])
 
 
 def copy_csv(
@@ -130,7 +126,8 @@ def copy_csv(
 
 
 def row_counts(spark: SparkSession, warehouse: Warehouse, tables) -> DataFrame:
-    """The number of rows of each table."""
+    """The number of rows of each table, all of one publication."""
+    warehouse = warehouse.pinned(spark)
     counts = [
         warehouse.load(spark, t).agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(t).alias("table_name"), "n"
@@ -152,7 +149,10 @@ def _grouped(raw: DataFrame, keys, spec: StarSpec) -> DataFrame:
     return wide_totals(raw, [F.col(k) for k in keys], spec.measures)
 
 
-def _dims(raw: DataFrame, spec: StarSpec, staging: Staging, check_keys: bool) -> dict[str, DataFrame]:
+def checked_dims(
+    raw: DataFrame, spec: StarSpec, staging: Staging, check_keys: bool
+) -> dict[str, DataFrame]:
+    """The three dimensions by name. Bad keys raise."""
     places = staging.save(raw.select(*spec.keys[1:]).distinct(), "places")
     dims = {
         "dim_province": dim_province(places, spec),
@@ -178,7 +178,7 @@ def _check_cases(cases: DataFrame, daily: DataFrame, spec: StarSpec) -> None:
         raise ContractError(f"dim_case has {found} of the {len(spec.statuses)} statuses")
 
 
-def _check_dates(daily: DataFrame, spec: StarSpec, strict: bool) -> None:
+def check_dates(daily: DataFrame, spec: StarSpec, strict: bool) -> None:
     if strict:
         _raise_if_any(date_violations(daily, spec.date), "dates are not yyyy-MM-dd")
 
@@ -188,11 +188,3 @@ def _raise_if_any(violations: DataFrame, message: str) -> None:
     if shown:
         first = f" (first {SHOWN_VIOLATIONS})" if len(shown) == SHOWN_VIOLATIONS else ""
         raise ContractError(f"{message}{first}: {[r.asDict() for r in shown]}")
-
-
-def _store(tables: dict[str, DataFrame], warehouse: Warehouse) -> None:
-    """Dimensions first, as facts refer to them."""
-    for group in (DIMS, FACTS):
-        saves = {t: partial(warehouse.save, df, t) for t, df in tables.items() if t in group}
-        if saves:
-            in_parallel(next(iter(tables.values())).sparkSession, saves, warehouse.writers)

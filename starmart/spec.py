@@ -9,6 +9,7 @@ from dataclasses import dataclass
 RESERVED = frozenset(
     {"date", "month", "year", "province_id", "district_id", "status", "total"}
     | {"_slot", "_part", "_before", "_position", "_n"}
+    | {"_period", "_segment", "_rank", "_places", "_offset", "_first"}
 )
 
 

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.storage import delete, exists, path_of, scheme_of
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Only a local session may go
@@ -29,18 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def _path(spark: SparkSession, folder: str):
-    """The Hadoop path of a folder and its file system."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
-
-
 def require_shared(spark: SparkSession, folder: str) -> None:
     """Raises if the folder lies in the file system of one machine: executors
     would write to their own disks, and a later read would miss those files."""
-    _, system = _path(spark, folder)
-    if system.getScheme() == "file":
+    if scheme_of(spark, folder) == "file":
         raise RuntimeError(f"{folder} is on each machine's own disk; name a shared file system")
 
 
@@ -55,7 +49,7 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/starmart-{uuid.uuid4().hex}"
-        path, system = _path(spark, self.path)
+        path, system = path_of(spark, self.path)
         system.deleteOnExit(path)
 
     def folder(self, name: str) -> str:
@@ -66,14 +60,12 @@ class Staging:
         raises, so that missing files cannot pass for missing rows."""
         path = self.folder(f"{name}-{uuid.uuid4().hex[:8]}")
         df.write.parquet(path)
-        done, system = _path(self.spark, f"{path}/_SUCCESS")
-        if not system.exists(done):
+        if not exists(self.spark, f"{path}/_SUCCESS"):
             raise RuntimeError(f"{path} was not committed")
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        path, system = _path(self.spark, self.path)
-        system.delete(path, True)
+        delete(self.spark, self.path)
 
     def __enter__(self) -> Staging:
         return self

@@ -10,7 +10,7 @@ from starmart.functions.periods import PERIODS
 from starmart.parallel import in_parallel
 from starmart.plans.jobs import ContractError, preview, row_counts
 from starmart.sinks.warehouse import FileWarehouse, Warehouse
-from starmart.staging import shared_folder
+from starmart.staging import require_shared, shared_folder
 
 CLEAN = [r for r in skewed_rows()]
 
@@ -165,6 +165,13 @@ class Session:
         self.folder = folder
 
 
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark):
+    with pytest.raises(RuntimeError, match="own disk"):
+        shared_folder(Session("yarn", "file:///x"))
+    with pytest.raises(RuntimeError, match="own disk"):
+        require_shared(spark, "/x")  # the default file system of this session
+
+
 def test_shared_folder_comes_from_the_session():
     assert shared_folder(Session("yarn", "hdfs://shared/dir/", "hdfs://other")) == "hdfs://shared/dir"
     assert shared_folder(Session("yarn", folder="hdfs://other")) == "hdfs://other"

@@ -1,0 +1,148 @@
+"""Refreshed facts against facts of all rows."""
+
+import random
+import re
+
+import pytest
+from fixtures import NULL_ROWS, SMALL_SPEC, raw_of, skewed_rows
+from shapes import long_first_fact, rows
+from test_jobs import place
+
+from starmart import StarState, dim_case, dim_district, refresh_all
+from starmart.contracts import GEOS, fact_table
+from starmart.functions.periods import PERIODS
+from starmart.operators import numbering
+from starmart.plans import refresh
+from starmart.plans.jobs import ContractError
+from starmart.sinks.manifest import PublishConflict
+from starmart.sinks.warehouse import FileWarehouse
+from starmart.storage import names_in
+
+
+def check(spark, facts, raw):
+    cases = dim_case(raw, SMALL_SPEC)
+    for geo in GEOS:
+        for period in PERIODS:
+            got = facts[fact_table(geo, period)]
+            assert rows(got) == rows(long_first_fact(raw, cases, SMALL_SPEC, geo, period)), (geo, period)
+
+
+@pytest.fixture
+def data():
+    found = place(skewed_rows())
+    random.Random(5).shuffle(found)
+    return found
+
+
+def test_steps_equal_one_pass(spark, tmp_path, data):
+    """Rows in any order: days, months and places come back in later steps."""
+    state = StarState(str(tmp_path / "s"), SMALL_SPEC)
+    warehouse = FileWarehouse(str(tmp_path / "w"))
+    third = len(data) // 3
+    for i in range(3):
+        refresh_all(raw_of(spark, data[i * third : (i + 1) * third]), state, warehouse)
+        so_far = raw_of(spark, data[: (i + 1) * third])
+        check(spark, {t: warehouse.load(spark, t) for t in state.facts(spark)}, so_far)
+        assert rows(warehouse.load(spark, "dim_district")) == rows(dim_district(so_far, SMALL_SPEC))
+
+
+def test_odd_dates_and_nulls(spark, tmp_path):
+    odd = [("05/08/2020", "1", "10", 1, 1), ("20", "1", "10", 2, None), ("2020!x", "1", "10", 3, 3)]
+    odd += [("2020-08-07 x", "2", "20", 4, 4), ("2020-08", "2", "20", 5, 5), ("é-1", "1", "10", 6, 6)]
+    state = StarState(str(tmp_path), SMALL_SPEC)
+    for part in (NULL_ROWS[::2], odd[::2], NULL_ROWS[1::2], odd[1::2]):
+        state.refresh(raw_of(spark, part), check_keys=False)
+    check(spark, state.facts(spark), raw_of(spark, NULL_ROWS + odd))
+
+
+def test_days_can_be_replaced(spark, tmp_path, data):
+    state = StarState(str(tmp_path), SMALL_SPEC)
+    state.refresh(raw_of(spark, data))
+    new = [("2020-12-31", "1", "7", 100, None), ("2021-01-02", "1", "7", None, -5)]
+    state.refresh(raw_of(spark, new), replace_days=True)
+    days = {d for d, *_ in new}
+    check(spark, state.facts(spark), raw_of(spark, [r for r in data if r[0] not in days] + new))
+
+
+def test_only_touched_periods_are_sorted_and_written(spark, tmp_path, data, monkeypatch):
+    state = StarState(str(tmp_path), SMALL_SPEC)
+    state.refresh(raw_of(spark, [r for r in data if r[0] != "2021-01-01"]))
+    sizes, sorted_runs = {}, numbering.sorted_runs
+
+    def counted(df, keys, staging, name):
+        sizes[name] = df.count()
+        return sorted_runs(df, keys, staging, name)
+
+    monkeypatch.setattr(refresh, "sorted_runs", counted)
+    day = [r for r in data if r[0] == "2021-01-01"]
+    state.refresh(raw_of(spark, day))
+    check(spark, state.facts(spark), raw_of(spark, data))
+    month = [r for r in data if r[0].startswith("2021-01")]
+    for name, touched in (("daily", day), ("monthly", month), ("yearly", month)):
+        assert sizes[f"fact_district_{name}"] == len({r[2] for r in touched})
+        assert sizes[f"fact_province_{name}"] == len({r[1] for r in touched})
+
+
+def test_many_refreshes_keep_few_segments(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "MOST_SEGMENTS", 3)
+    state, data = StarState(str(tmp_path), SMALL_SPEC, keep_versions=1), []
+    for i in range(6):
+        step = [(f"2020-0{1 + i % 3}-0{1 + i}", "1", str(k), i, k) for k in range(4)]
+        state.refresh(raw_of(spark, step))
+        data += step
+        assert max(len(state._snapshot(spark).segments(t)) for t in ("days", "fact_district_daily")) <= 3
+    check(spark, state.facts(spark), raw_of(spark, data))
+
+
+def test_errors_leave_the_state(spark, tmp_path, data, monkeypatch):
+    state = StarState(str(tmp_path), SMALL_SPEC)
+    state.refresh(raw_of(spark, data))
+    segments = names_in(spark, f"{tmp_path}/_segments")
+    bad = raw_of(spark, [("2021-05-05", "9", "7", 1, 1)])  # a district in two provinces
+    with pytest.raises(ContractError, match="dim_district has bad keys"):
+        state.refresh(bad)
+    with pytest.raises(ContractError, match="not yyyy-MM-dd"):
+        state.refresh(raw_of(spark, [("5.5.2021", "3", "7", 1, 1)]), strict_dates=True)
+    monkeypatch.setattr("starmart.contracts.MOST_IDS", 10)
+    with pytest.raises(ContractError, match="more than an INT holds"):
+        state.refresh(raw_of(spark, [("2021-05-05", "3", "7", 1, 1)]))
+    monkeypatch.undo()
+    state.refresh(raw_of(spark, []))
+    assert names_in(spark, f"{tmp_path}/_segments") == segments
+    check(spark, state.facts(spark), raw_of(spark, data))
+
+
+def test_of_two_refreshes_at_a_time_one_raises(spark, tmp_path, data, monkeypatch):
+    state = StarState(str(tmp_path), SMALL_SPEC)
+    checked = refresh.checked_dims
+
+    def other_first(*args):
+        monkeypatch.setattr(refresh, "checked_dims", checked)
+        state.refresh(raw_of(spark, data))
+        return checked(*args)
+
+    monkeypatch.setattr(refresh, "checked_dims", other_first)
+    with pytest.raises(PublishConflict):
+        state.refresh(raw_of(spark, data[:5]))
+    check(spark, state.facts(spark), raw_of(spark, data))
+
+
+def test_tree_offsets_equal_a_running_sum(spark):
+    rng = random.Random(1)
+    texts = {None, "", "2020", "20", "2020-1", "2020!", "2020-01-01", "2020-01", "é", "𝒳2020-01"}
+    texts |= {"".join(rng.choice("02-!9é") for _ in range(rng.randint(0, 11))) for _ in range(300)}
+    data = [(t, "s", rng.randint(1, 9)) for t in texts]
+    found = refresh.tree_offsets(spark.createDataFrame(data, refresh.COUNTS)).collect()
+    expected, total = {}, 0
+    for t, _, n in sorted(data, key=lambda r: (r[0] is not None, (r[0] or "").encode())):
+        expected[t], total = total, total + n
+    assert {r[0]: r[3] for r in found} == expected
+
+
+def test_a_refreshed_fact_shuffles_counts_alone(spark, tmp_path, data):
+    state = StarState(str(tmp_path), SMALL_SPEC)
+    state.refresh(raw_of(spark, data))
+    plan = state.facts(spark)["fact_district_daily"]._jdf.queryExecution().toString()
+    keys = re.findall(r"hashpartitioning\((.*?), \d+\)", plan)
+    assert keys and all(set(re.findall(r"\w+(?=#)", k)) <= {"_year", "_month"} for k in keys)
+    assert "rangepartitioning" not in plan and "SortMergeJoin _period" not in plan
