@@ -34,9 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--raw", required=True)
     job.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     job.add_argument("--multi-line", action="store_true", help="one document per file")
-    job.add_argument(
-        "--declared", action="store_true", help="read the declared fields alone, spelled as declared"
-    )
+    job.add_argument("--split", action="store_true", help="one document per file, read by many tasks")
+    job.add_argument("--declared", action="store_true", help="land the declared fields alone")
     job.add_argument("--partitions", type=int)
     job.add_argument("--by-day", action="store_true", help="land in the order of days")
 
@@ -105,6 +104,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             fmt=args.format,
             spec=CASE_SPEC,
             by_day=args.by_day,
+            split=args.split,
         )
         return
     warehouse = _warehouse(args)

@@ -7,9 +7,10 @@ then changes all tables of the job at once or none.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +21,9 @@ from starmart.contracts import (
     conform_some,
     require_ansi,
 )
+from starmart.functions.names import quoted
 from starmart.functions.periods import date_violations
-from starmart.operators.flatten import RECORDS, flatten_records
+from starmart.operators.flatten import RECORDS, field_names, fields_of, having_any
 from starmart.operators.keys import key_violations
 from starmart.operators.totals import wide_totals
 from starmart.parallel import in_parallel
@@ -29,7 +31,7 @@ from starmart.plans.dims import dim_case, dim_district, dim_province
 from starmart.plans.facts import all_facts
 from starmart.sinks.files import land
 from starmart.sinks.warehouse import Warehouse
-from starmart.sources.files import read_csv_text, read_documents
+from starmart.sources.files import read_csv_text, read_records
 from starmart.spec import CASE_SPEC, StarSpec
 from starmart.staging import Staging
 
@@ -47,19 +49,56 @@ def ingest(
     fmt: str = "parquet",
     spec: StarSpec = CASE_SPEC,
     by_day: bool = False,
+    split: bool = False,
     **options,
 ) -> None:
     """Lands the records of JSON documents as a flat table with lower-case
-    names: all their fields, or those of ``schema``. The columns of ``spec`` get
-    their declared types, whatever their spelling in the documents, others stay
-    text; a count that is no integer raises. ``partitions`` spreads the rows of a few
-    multi-line files, which come from one task each. ``by_day`` lands the rows in
-    the order of days, at the price of a sort, so that a filter on days skips files."""
+    names: all their fields, found by a pass over the documents, or those of
+    ``schema`` without one. Names match in any spelling, from record to record. The
+    columns of ``spec`` get their declared types and those of ``schema`` theirs,
+    others stay text; a count that is no integer raises, and so does a record that has
+    fields but none of ``schema``.
+
+    ``multi_line`` documents, one per file, come from one task each, whose rows
+    ``partitions`` spreads; with ``split`` many tasks read each. ``by_day`` lands
+    the rows in the order of days, at the price of a sort, so that a filter on days
+    skips files."""
     require_ansi(spark)
-    flat = flatten_records(read_documents(spark, source, schema, multi_line), records)
-    flat = conform_some(flat, spec)
-    spread = flat if partitions is None else flat.repartition(partitions)
-    land(spread, target, fmt, sort_by=[spec.date] if by_day else (), **options)
+    with Staging(spark) as staging:
+        found = read_records(spark, source, records, multi_line, split, staging)
+        if schema is None:
+            flat = fields_of(found, field_names(found))
+        else:
+            declared = _record_fields(schema, records)
+            names = [f.name.lower() for f in declared]
+            flat = _typed(fields_of(having_any(found, names), names), declared)
+        flat = conform_some(flat, spec)
+        spread = flat if partitions is None else flat.repartition(partitions)
+        land(spread, target, fmt, sort_by=[spec.date] if by_day else (), **options)
+
+
+def _record_fields(schema: T.StructType, records: str) -> T.StructType:
+    """The fields of the records in the schema of documents."""
+    kind = schema
+    for key in records.split("."):
+        kind = kind[key].dataType
+    fields = kind.elementType
+    clashes = sorted(n for n, k in Counter(f.name.lower() for f in fields).items() if k > 1)
+    if clashes:
+        raise ValueError(f"fields differ by case only: {clashes}")
+    return fields
+
+
+def _typed(flat: DataFrame, fields: T.StructType) -> DataFrame:
+    """Text columns, in the order of ``fields``, with their types."""
+
+    def typed(field: T.StructField) -> Column:
+        column = F.col(quoted(field.name.lower()))
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.from_json(column, field.dataType, {"mode": "FAILFAST"}).alias(field.name.lower())
+        return column.cast(field.dataType).alias(field.name.lower())
+
+    return flat.select(*map(typed, fields))
 
 
 def build_dims(

@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.contracts import conform_raw, raw_schema
+from starmart.functions.names import quoted
+from starmart.operators.flatten import RECORDS, folded
+from starmart.sources.split_json import split_records
 from starmart.spec import StarSpec
+from starmart.staging import Staging
+
+RECORD_TYPE = "MAP<STRING, STRING>"
 
 # Keeps NULL, '' and blanks apart. Text with line breaks needs Parquet.
 CSV_LOSSLESS = {
@@ -38,7 +45,7 @@ def read_documents(
     Without ``schema`` all fields are found by a pass over all files and read as
     text, so that nothing is lost to a guessed type. With it that pass is
     saved, but only its fields are read, as they are spelled in it: a field in
-    another spelling is NULL.
+    another spelling is NULL. ``read_records`` takes any spelling.
     """
     reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if schema is None:
@@ -46,6 +53,35 @@ def read_documents(
     return reader.schema(schema).json(path)
 
 
+def read_records(
+    spark: SparkSession,
+    path: str | list[str],
+    records: str = RECORDS,
+    multi_line: bool = False,
+    split: bool = False,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """The records of JSON documents in the column ``record``: a map from field
+    names, in lower case, to texts, so that no pass is needed to find the fields and
+    every document may spell them in its own way. Numbers keep their digits, nested
+    values are JSON texts. Documents without records give no rows. Malformed
+    documents raise, and so do two fields of a record that differ by case only.
+
+    Documents are one per line, or with ``multi_line`` one per file, read by one
+    task; with ``split`` one per file, read by many (``split_records``)."""
+    if split:
+        texts = split_records(spark, path, records, staging)
+        found = texts.select(F.from_json("record", RECORD_TYPE, {"mode": "FAILFAST"}).alias("record"))
+    else:
+        kind = f"ARRAY<{RECORD_TYPE}>"
+        for key in reversed(records.split(".")[1:]):
+            kind = f"STRUCT<{quoted(key)}: {kind}>"
+        reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+        documents = reader.schema(f"{quoted(records.split('.')[0])} {kind}").json(path)
+        found = documents.select(F.explode(F.col(records)).alias("record"))
+    return found.select(folded(F.col("record")).alias("record"))
+
+
 def read_csv_text(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
     """CSV with a header, every column as text. Files whose headers differ
     raise. The options are ``CSV_LOSSLESS`` unless given."""
