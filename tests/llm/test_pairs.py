@@ -136,6 +136,108 @@ def test_a_passage_that_many_share_gives_a_row_each(spark):
     assert len(found) < 3 * 80
 
 
+def _altered(rng, words, edits):
+    """As many random words replaced, left out or put in."""
+    out = list(words)
+    for i in sorted(rng.sample(range(len(words)), edits), reverse=True):
+        kind = rng.random()
+        if kind < 0.7:
+            out[i] = f"new{rng.randrange(10**6)}"
+        elif kind < 0.85:
+            del out[i]
+        else:
+            out.insert(i, f"new{rng.randrange(10**6)}")
+    return out
+
+
+def _common(a, b):
+    """Longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+    return row[-1]
+
+
+def test_passages_with_edits_are_found(spark):
+    """Of planted pairs with up to a fifth of unequal words, by brute force, all but
+    a few are found, and where they were planted."""
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    texts, planted = [], []
+    for _ in range(150):
+        passage = words(rng.choice((50, 60, 80, 120)))
+        copy = _altered(rng, passage, rng.randint(0, len(passage) // 5))
+        before, after = words(rng.randint(0, 60)), words(rng.randint(0, 60))
+        if _common(passage, copy) >= 0.8 * max(len(passage), len(copy)):
+            planted.append((len(texts), len(before), len(passage)))
+        texts += [" ".join(before + passage + words(30)), " ".join(words(25) + copy + after)]
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    met = {}
+    for r in rows:
+        assert r["id"] // 2 == r["other_id"] // 2, "no other texts share a passage"
+        side = ("start", "stop") if r["id"] % 2 == 0 else ("other_start", "other_stop")
+        met[min(r["id"], r["other_id"])] = (r[side[0]], r[side[1]])
+    hits = [i for i, start, n in planted if i in met and met[i][0] < start + n and met[i][1] > start]
+    assert len(planted) > 120 and len(hits) >= 0.95 * len(planted)
+
+
+def test_quoters_do_not_hide_a_longer_passage(spark):
+    """Two texts share 60 words; twelve others quote 24 of them, from any place."""
+    texts = []
+    for case in range(10):
+        shared = prose(500 + case, 60).split()
+        rng = random.Random(case)
+        group = [prose(1000 + 20 * case + i, 50).split() for i in range(14)]
+        for i, text in enumerate(group):
+            at = rng.randint(0, 36)
+            text[25:25] = shared if i < 2 else shared[at : at + 24]
+        rng.shuffle(group)
+        texts += [" ".join(t) for t in group]
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    assert {r["id"] // 14 for r in rows} == set(range(10))
+    assert all(r["id"] // 14 == r["other_id"] // 14 and r["stop"] - r["start"] >= 55 for r in rows)
+
+
+def test_every_occurrence_of_a_passage_is_found(spark):
+    """One text of a pair holds the passage twice or more often."""
+    texts = []
+    for case in range(20):
+        shared = prose(700 + case, 50)
+        times = 2 + case % 3
+        many = " ".join(f"{shared} {prose(800 + 10 * case + i, 15)}" for i in range(times))
+        texts += [many, prose(1200 + case, 20) + " " + shared]
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    for case in range(20):
+        spans = {
+            (r["start"], r["stop"]) if r["id"] == 2 * case else (r["other_start"], r["other_stop"])
+            for r in rows if 2 * case in (r["id"], r["other_id"])
+        }
+        for i in range(2 + case % 3):
+            assert any(a <= 65 * i + 5 and b >= 65 * i + 45 for a, b in spans), (case, i, spans)
+
+
+def test_copies_have_a_row_each_and_one_stands_for_them(spark):
+    shared, copy = prose(50, 60), prose(51, 80)
+    texts = [copy] * 30 + [prose(2, 40) + " " + shared, shared + " " + prose(3, 40)] + ["too short"] * 4
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    copies = [r for r in rows if r["id"] < 30]
+    assert sorted(r["id"] for r in copies) == list(range(1, 30))
+    assert {(r["other_id"], r["start"], r["stop"], r["equal"]) for r in copies} == {(0, 0, 80, 1.0)}
+    assert [{r["id"], r["other_id"]} for r in rows if r["id"] >= 30] == [{30, 31}]
+
+
+def test_a_hot_seed_meets_in_parts(spark, monkeypatch):
+    """With parts of four occurrences all is found that is found in one."""
+    shared = prose(50, 60)
+    texts = [prose(200 + i, 20) + " " + shared + " " + prose(400 + i, 20) for i in range(60)]
+    monkeypatch.setattr(passages, "GROUP", 4)
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    assert {r["id"] for r in rows} | {r["other_id"] for r in rows} == set(range(60))
+    assert len(rows) < 4 * 60
+
+
 def test_chains_equal_brute_force():
     rng = random.Random(1)
     for _ in range(60):
