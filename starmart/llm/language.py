@@ -7,7 +7,7 @@ for the share of false positives that the fill of each language's bit column
 predicts, and the largest corrected share decides.
 
 Training reads at most about ``SAMPLE_PER_LANGUAGE`` labelled texts per
-language, drawn by a hash of their ids. Prediction uses nothing but the text.
+language, drawn by a hash of id and text. Prediction uses nothing but the text.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions.names import quoted
 from starmart.llm.text import batches, mix
 
 UNDETERMINED = "und"
@@ -152,8 +153,8 @@ def train(
     """Learns from the labelled rows of ``docs``, null texts and labels left out.
 
     ``sample`` bounds the expected number of texts per language: labels are
-    counted first, then each row enters by a hash of its id with the chance
-    that gives ``sample``. The n-grams counted from so many texts are what
+    counted first, then each row enters by a hash of its id and text with the chance
+    that gives ``sample``; rows that repeat both enter together. The n-grams counted from so many texts are what
     reaches the driver. More than MAX_LANGUAGES labels are refused.
     """
     rows = docs.select(
@@ -165,7 +166,7 @@ def train(
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not found:
         return LanguageFilter.build({})
-    unit = F.shiftrightunsigned(F.xxhash64("id", F.lit(2)), 11) / float(1 << 53)
+    unit = F.shiftrightunsigned(F.xxhash64("id", "text", F.lit(2)), 11) / float(1 << 53)
     chance = F.create_map(
         *[F.lit(x) for lang, n in found.items() for x in (lang, min(1.0, sample / n))]
     )
@@ -209,8 +210,7 @@ def identify(
 
     # A filter on the results would else be evaluated beside them by a second call.
     predict = predict.asNondeterministic()
-    return docs.withColumn("_found", predict(F.col(text_col))).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in (lang_out, score_out)],
-        f"_found.{lang_out}",
-        f"_found.{score_out}",
-    )
+    # The row as one column, so that no name of its own clashes.
+    kept = [F.col(quoted(c)) for c in docs.columns if c not in (lang_out, score_out)]
+    found = docs.select(F.struct(*kept).alias("row"), predict(F.col(text_col)).alias("found"))
+    return found.select("row.*", f"found.{lang_out}", f"found.{score_out}")

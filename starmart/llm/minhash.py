@@ -256,7 +256,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
 
 
 def _beyond_leaders(
-    state: DataFrame, led: DataFrame, labels: DataFrame, texts: DataFrame, idf: Broadcast
+    state: DataFrame, led: DataFrame, labels: DataFrame, texts: DataFrame, idf: Broadcast,
+    staging: Staging,
 ) -> DataFrame:
     """(a, b): pairs of members of a bucket in two classes, one of them outside
     the leader's, that the leader's distances and the profiles leave possible."""
@@ -276,21 +277,12 @@ def _beyond_leaders(
             F.coalesce("own", "text_key").eqNullSafe(F.coalesce("first", "leader")).alias("inside"),
         )
     )
-    # Buckets whose members are all in the leader's class are done.
-    open_buckets = placed.where("NOT inside").select("bucket").distinct()
-    placed = placed.join(open_buckets, "bucket")
-    # A bucket is compared block by block: a member goes to as many tasks as
-    # there are blocks, not to as many as there are members.
-    blocks = placed.groupBy("bucket").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")
-    )
-    profiles = _profiles(texts.join(placed.select("text_key").distinct(), "text_key"), idf)
-    block = F.pmod(F.xxhash64("text_key"), "blocks").cast("int")
+    dealt = _dealt(staging.save(placed, "placed"))
+    dealt = staging.save(dealt, "dealt")
+    profiles = _profiles(texts.join(dealt.select("text_key").distinct(), "text_key"), idf)
     met = (
-        placed.join(blocks, "bucket")
-        .withColumn("block", block)
-        .join(profiles, "text_key")
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt.join(profiles, "text_key")
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
         .withColumn("low", F.least("block", "with"))
         .withColumn("high", F.greatest("block", "with"))
         .select("bucket", "low", "high", "block", "text_key", "sim", "own", "inside", "profile")
@@ -317,6 +309,37 @@ def _beyond_leaders(
     )
 
 
+def _dealt(placed: DataFrame) -> DataFrame:
+    """Members of the buckets that have some outside the leader's class, with the
+    block of each and the number of blocks that it meets.
+
+    A bucket is compared block by block. Those left over meet all blocks. Those
+    inside meet the blocks of the left-over ones alone, as pairs of two inside need
+    nothing, and only if their distance to the leader is near that of one left
+    over: the others no bound leaves possible. So what is sent grows with the
+    left-over members, and a bucket of a single class is not looked at again.
+    """
+    reach = 1 - SIMILARITY + 1e-9
+    left = placed.where("NOT inside").groupBy("bucket").agg(
+        F.min("sim").alias("least"), F.max("sim").alias("most")
+    )
+    near = ~F.col("inside") | (
+        (F.col("sim") >= F.col("least") - reach) & (F.col("sim") <= F.col("most") + reach)
+    )
+    kept = placed.join(left, "bucket").where(near)
+    blocks = lambda of: F.ceil(F.count_if(of) / F.lit(BLOCK)).cast("int")
+    sizes = kept.groupBy("bucket").agg(
+        blocks(~F.col("inside")).alias("outer"), blocks(F.col("inside")).alias("inner")
+    )
+    place = F.xxhash64("text_key")
+    return kept.join(sizes, "bucket").select(
+        "bucket", "text_key", "sim", "own", "inside",
+        F.when(F.col("inside"), F.col("outer") + F.pmod(place, "inner"))
+        .otherwise(F.pmod(place, "outer")).cast("int").alias("block"),
+        F.when(F.col("inside"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")).alias("others"),
+    )
+
+
 def _possible_pairs(rows: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
     """(a, b) in each run of rows between two bounds: members of two blocks."""
     found = []
@@ -399,6 +422,7 @@ def near_duplicates(
         worded.groupBy("text_key").agg(
             F.min("id").alias("rep"),
             F.first("bands").alias("bands"),
+            F.count(F.lit(1)).alias("copies"),
         ),
         "texts",
     )
@@ -434,21 +458,27 @@ def near_duplicates(
     )
     linked = led.where(F.col("sim") >= SIMILARITY)
     labels = component_labels(linked, staging)
-    beyond = staging.save(_beyond_leaders(state, led, labels, needed, idf), "pairs")
+    beyond = staging.save(_beyond_leaders(state, led, labels, needed, idf, staging), "pairs")
     links, labels = _in_rounds(beyond, linked, labels, needed, idf, staging)
 
     ends = links.select(F.col("a").alias("text_key")).unionAll(links.select("b"))
     degrees = ends.groupBy("text_key").agg(F.count(F.lit(1)).alias("n_verified_links"))
     named = texts.join(labels.withColumnRenamed("node", "text_key"), "text_key", "left").select(
-        "text_key", "rep", F.coalesce("label", "text_key").alias("label")
+        "text_key", "rep", "copies", F.coalesce("label", "text_key").alias("label")
     )
     classes = named.groupBy("label").agg(
         F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("class_texts")
     )
     per_text = named.join(classes, "label").join(degrees, "text_key", "left").drop("rep")
+    per_text = staging.save(per_text, "per_text")
+    # Texts with so many copies that one task would hold more than its part: at
+    # most as many as there are partitions, so they can be broadcast.
+    part = worded.count() // int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(per_text.where(F.col("copies") > max(1, part)))
+    each = worded.select("id", "text_key")
     members = (
-        worded.select("id", "text_key")
-        .join(per_text, "text_key")
+        each.join(hot, "text_key")
+        .unionByName(each.join(hot.select("text_key"), "text_key", "left_anti").join(per_text, "text_key"))
         .select(
             "id",
             "text_key",
@@ -481,14 +511,12 @@ def one_of_each(docs: DataFrame, members: DataFrame, id_col: str, text_col: str)
         .select("first.id", "first.text_key")
     )
     key = lambda i, t: F.md5(F.concat_ws("|", F.coalesce(i.cast("string"), F.lit("")), t))
-    stays = first.select(key(F.col("id"), F.hex("text_key")).alias("_stays"))
+    stays = first.select(key(F.col("id"), F.hex("text_key")).alias("stays"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("_key", key(F.col(id_col), F.upper(F.md5(text))))
     worded = F.coalesce(F.rlike(F.col(text_col), F.lit(r"\S")), F.lit(False))
-    kept = (
-        keyed.where(worded)
-        .join(stays, F.col("_key") == F.col("_stays"))
-        .drop("_stays")
-        .dropDuplicates(["_key"])
+    # The row as one column, so that no name of its own clashes.
+    keyed = docs.where(worded).select(
+        F.struct("*").alias("row"), key(F.col(id_col), F.upper(F.md5(text))).alias("key")
     )
-    return kept.drop("_key").unionByName(docs.where(~worded))
+    kept = keyed.join(stays, F.col("key") == F.col("stays")).dropDuplicates(["key"])
+    return kept.select("row.*").unionByName(docs.where(~worded))

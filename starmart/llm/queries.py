@@ -89,7 +89,9 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = tokens.load_ranks(public_tokenizers.path(VOCABULARY))
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = tokens.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_ids=False)
+    found = tokens.encode_documents(
+        docs, ranks, public_tokenizers.PATTERN, keep_ids=False, keep_text=False
+    )
     return found.select(
         "doc_id", "tokens.n_tokens", "tokens.ids_sha256", "tokens.decoded_sha256"
     )

@@ -32,11 +32,11 @@ def _tokenizer(ranks: bytes, pattern: str) -> Tokenizer:
 
 def encode_documents(
     docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text", out: str = "tokens",
-    keep_ids: bool = True,
+    keep_ids: bool = True, keep_text: bool = True,
 ) -> DataFrame:
-    """``docs`` with a struct column ``out``: ids (array; null with
-    ``keep_ids=False``), n_tokens, ids_sha256 (of the decimal ids joined by
-    blanks), decoded (the text the ids decode to; null without ids) and
+    """``docs`` with a struct column ``out``: ids (array; null without
+    ``keep_ids``), n_tokens, ids_sha256 (of the decimal ids joined by blanks),
+    decoded (the text the ids decode to; null without ``keep_text``) and
     decoded_sha256. Null texts count as empty. An input column of that name is
     replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
@@ -57,7 +57,7 @@ def encode_documents(
                         np.fromstring(ids, np.int32, sep=" ") if keep_ids else None,
                         n,
                         hashlib.sha256(ids.encode()).hexdigest(),
-                        decoded.decode("utf-8", "replace") if keep_ids else None,
+                        decoded.decode("utf-8", "replace") if keep_text else None,
                         hashlib.sha256(decoded).hexdigest(),
                     )
                 )

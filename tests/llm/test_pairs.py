@@ -229,11 +229,15 @@ def test_copies_have_a_row_each_and_one_stands_for_them(spark):
 
 
 def test_a_hot_seed_meets_in_parts(spark, monkeypatch):
-    """With parts of four occurrences all is found that is found in one."""
+    """In parts of a few occurrences each text has its row as well."""
     shared = prose(50, 60)
     texts = [prose(200 + i, 20) + " " + shared + " " + prose(400 + i, 20) for i in range(60)]
-    monkeypatch.setattr(passages, "GROUP", 4)
-    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    monkeypatch.setattr(passages, "SAMPLED", 1)
+    monkeypatch.setattr(passages, "LEAST_HOT", 8)
+    docs = _docs(spark, texts)
+    hot = passages._hot(docs.selectExpr("xxhash64(text) AS key", "text")).collect()
+    assert len(hot) >= 5 and all(2 <= r["parts"] <= 8 for r in hot)
+    rows = passages.repeated_passages(docs).collect()
     assert {r["id"] for r in rows} | {r["other_id"] for r in rows} == set(range(60))
     assert len(rows) < 4 * 60
 
@@ -352,7 +356,7 @@ def test_pairs_of_a_bucket_are_verified_until_none_is_left(spark, monkeypatch):
     staging = Staging(spark)
     linked = led.where(led["sim"] >= minhash.SIMILARITY)
     labels = component_labels(linked, staging)
-    pairs = staging.save(minhash._beyond_leaders(state, led, labels, keyed, idf), "pairs")
+    pairs = staging.save(minhash._beyond_leaders(state, led, labels, keyed, idf, staging), "pairs")
     got = {(bytes(r["a"]), bytes(r["b"])) for r in pairs.collect()}
     first = {bytes(r["node"]) for r in labels.collect()}
     similar = {
@@ -369,3 +373,77 @@ def test_pairs_of_a_bucket_are_verified_until_none_is_left(spark, monkeypatch):
     labels = component_labels(links, staging)
     found = {bytes(r["node"]): bytes(r["label"]) for r in labels.collect()}
     assert all(found[a] == found[b] for a, b in similar)
+
+
+def test_rows_sent_to_blocks_grow_with_the_members_left_over(spark, monkeypatch):
+    """A bucket with many members in its leader's class and few outside."""
+    monkeypatch.setattr(minhash, "BLOCK", 10)
+
+    def sent(inside, outside, sim=0.7):
+        rows = [(1, bytearray(f"i{i}".encode()), 0.85, bytearray(b"x"), True) for i in range(inside)]
+        rows += [(1, bytearray(f"o{i}".encode()), sim, bytearray(f"o{i}".encode()), False) for i in range(outside)]
+        rows += [(2, bytearray(f"i{i}".encode()), 0.85, bytearray(b"x"), True) for i in range(50)]
+        kind = "bucket BIGINT, text_key BINARY, sim DOUBLE, own BINARY, inside BOOLEAN"
+        dealt = minhash._dealt(spark.createDataFrame(rows, kind)).collect()
+        assert {r["bucket"] for r in dealt} <= {1}
+        return sum(r["others"] for r in dealt)
+
+    assert sent(1_000, 0) == 0
+    assert sent(1_000, 1) == 1_000 + (100 + 1)
+    assert sent(1_000, 30) == 3 * 1_000 + 30 * (100 + 3)
+    assert sent(1_000, 1, sim=0.6) == 1, "too far from the leader for any of its class"
+
+
+def test_a_text_with_very_many_copies(spark, conf):
+    conf("spark.sql.shuffle.partitions", "4")
+    texts = [prose(1, 100)] * 300 + [prose(i, 100) for i in range(2, 40)] + [edited(prose(1, 100), 90)]
+    members, _ = minhash.near_duplicates(_docs(spark, texts))
+    rows = {r["id"]: r for r in members.collect()}
+    assert len(rows) == len(texts)
+    assert all(rows[i]["class_id"] == (0 if i < 300 or i == len(texts) - 1 else i) for i in rows)
+    assert rows[0]["class_texts"] == 2 and rows[0]["n_verified_links"] == 1
+
+
+def test_names_of_documents_do_not_clash(spark):
+    docs = _docs(spark, [prose(1, 100), prose(1, 100), None]).selectExpr(
+        "*", "'k' AS _key", "'s' AS _stays", "'a' AS key", "'b' AS stays", "'c' AS row"
+    )
+    members, _ = minhash.near_duplicates(docs)
+    kept = minhash.one_of_each(docs, members, "doc_id", "text")
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect()) == sorted(docs.where("doc_id <> 1").collect())
+
+
+def test_q_grams_of_very_many_items(monkeypatch):
+    """Hits do not depend on what is left out, nor on the size of a run."""
+    rng = random.Random(4)
+    head = "question: which "
+    items = [(i, head + prose(i, 25)) for i in range(60)] + [(60, head), (61, head), (62, prose(3, 30))]
+    texts = []
+    for i in range(40):
+        item = list(items[rng.randrange(63)][1])
+        for _ in range(rng.randint(0, 5)):
+            item[rng.randrange(len(item))] = rng.choice("abc ")
+        texts.append(decontaminate.normalized(prose(900 + i, 30) + " " + "".join(item) + " " + prose(950 + i, 20)))
+    found, sizes = {}, {}
+    for hot, most in ((10**9, 10**9), (5, 10**9), (5, 500)):
+        monkeypatch.setattr(decontaminate, "HOT_ITEMS", hot)
+        monkeypatch.setattr(decontaminate, "MOST_SHARED", most)
+        index = decontaminate.BenchmarkIndex([(i, decontaminate.normalized(t)) for i, t in items])
+        found[hot, most] = sorted(index.hits(texts))
+        sizes[hot] = len(index.grams)
+    assert found[10**9, 10**9] == found[5, 10**9] == found[5, 500]
+    assert len(found[5, 500]) > 30 and sizes[5] < sizes[10**9] - 300
+
+
+def test_blocks_are_read_one_after_the_other(spark, monkeypatch):
+    items = [(i, prose(2000 + i, 30)) for i in range(40)]
+    docs = _docs(spark, [prose(i, 20) + " " + items[i][1] for i in range(40)])
+    bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    whole = sorted(decontaminate.benchmark_hits(docs, bench).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 1_000)
+    names, save = [], Staging.save
+    monkeypatch.setattr(Staging, "save", lambda self, df, name: (names.append(name), save(self, df, name))[1])
+    found = decontaminate.benchmark_hits(docs, bench)
+    assert names.count("hits") > 4 and names[0] == "items"
+    assert sorted(found.collect()) == whole and {r["item_id"] for r in whole} == set(range(40))

@@ -52,10 +52,30 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == 0
 
 
+NAMES = (
+    "id", "row", "key", "held", "lang_pred", "score", "tokens", "found", "stays",
+    "_key", "_found", "_held", "_tokens", "_lang", "_score", "_stays",
+)
+
+
 def test_stages_keep_the_columns(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("id", F.lit(1))
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, FOLDER).columns == docs.columns
+    """Columns with the names that operators use come back as they were."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    docs = docs.select("*", *[F.lit(n).alias(n) for n in NAMES]).coalesce(1).cache()
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, FOLDER)
+        columns = found.columns[: len(docs.columns)]
+        assert columns == docs.columns and (found.columns == columns) == (name != "byte_bpe")
+        rows = found.collect()
+        assert rows and all(r[n] == n for r in rows for n in NAMES)
+    docs.unpersist()
+
+
+def test_token_columns_replace_those_of_their_name(spark):
+    docs = spark.createDataFrame([(1, "a b", "x")], "doc_id BIGINT, text STRING, n_tokens STRING")
+    found = corpus_pipeline.encode(spark, docs, FOLDER)
+    assert found.columns == ["doc_id", "text", *corpus_pipeline.TOKEN_COLUMNS]
+    assert found.first()["n_tokens"] == len(found.first()["token_ids"])
 
 
 @pytest.mark.parametrize("name", [n for n in entry.CORPUS if n != "pipeline"])

@@ -47,6 +47,37 @@ def test_false_positives_are_corrected():
     assert shares[0, 1] < 0.3
 
 
+def test_rows_with_one_id_are_sampled_one_by_one(spark):
+    """Not all or none, as if the id alone decided."""
+    rows = [(None if i % 2 else 7, prose(i, 20), "aa" if i % 2 else "bb") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    model = language.train(docs, sample=50)
+    found = language.identify(docs, model).groupBy("lang_pred").count().collect()
+    assert model.languages == ("aa", "bb") and (model.table & 1).any() and (model.table & 2).any()
+    assert sum(r["count"] for r in found) == 400
+
+
+def test_shares_equal_brute_force():
+    """Each text's share of n-grams in a language's set, without false positives:
+    a table far larger than the n-grams."""
+    grams = {"x": prose(1, 40), "y": prose(2, 40)}
+
+    def pieces(text):
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            yield from word
+            for n in (2, 3):
+                padded = f" {word} "
+                yield from (padded[i : i + n] for i in range(len(padded) - n + 1))
+
+    model = language.LanguageFilter.build({k: language.ngram_hashes([t])[0] for k, t in grams.items()})
+    for text in (prose(1, 30), prose(3, 50), "bano 12 BESTO-filo", "zz"):
+        for at, known in enumerate(grams.values()):
+            held, own = set(pieces(known)), list(pieces(text))
+            own = [p for p in own if p.strip()]
+            share = sum(p in held for p in own) / len(own)
+            assert abs(model.shares([text])[0, at] - share) < 0.02, (text, at)
+
+
 def test_odd_rows_of_language(odd_docs, no_docs):
     labelled = odd_docs.withColumn("lang", F.lit("en"))
     model = language.train(labelled)
