@@ -19,34 +19,46 @@ def _bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
 
 
+def _packed(docs: DataFrame, *names: str) -> DataFrame:
+    """The row as one column ``row`` beside the columns that an operator reads, so
+    that no name of a document clashes with a name of its own."""
+    return docs.select(F.struct("*").alias("row"), *names)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language; fills missing labels in."""
     _bounded_batches(spark)
     model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
-    found = language.identify(docs, model, lang_out="_lang", score_out="_score")
+    found = language.identify(_packed(docs, "text"), model)
     kept = found.where(
-        (F.col("_lang") != language.UNDETERMINED) & (F.col("_score") >= LEAST_LANGUAGE_SCORE)
+        (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
     )
-    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
+    lang = F.coalesce("row.lang", "lang_pred")
+    return kept.select(F.col("row").withField("lang", lang).alias("row")).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class."""
     _bounded_batches(spark)
-    members, _ = minhash.near_duplicates(docs)
+    with Staging(spark) as staging:
+        members, _ = minhash.near_duplicates(docs, staging=staging)
+        members = Staging(spark).save(members, "members")
     return minhash.one_of_each(docs, members, "doc_id", "text").select(*docs.columns)
 
 
 def drop_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     _bounded_batches(spark)
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    hits = decontaminate.benchmark_hits(
-        keyed.select("_key", "text"), table(spark, sf_dir, "benchmark"), id_col="_key"
-    )
-    # Written first: its size then decides how the join runs.
-    held = Staging(spark).save(hits.select(F.col("id").alias("_held")).distinct(), "held")
-    return keyed.join(held, F.col("_key") == F.col("_held"), "left_anti").select(*docs.columns)
+    key = F.xxhash64("doc_id", "text")
+    with Staging(spark) as staging:
+        hits = decontaminate.benchmark_hits(
+            docs.select(key.alias("key"), "text"), table(spark, sf_dir, "benchmark"), id_col="key",
+            staging=staging,
+        )
+        # Written first: its size then decides how the join runs.
+        held = Staging(spark).save(hits.select(F.col("id").alias("held")).distinct(), "held")
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))
+    return rows.join(held, F.col("key") == F.col("held"), "left_anti").select("row.*")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,17 +68,21 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return masked.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+TOKEN_COLUMNS = {"token_ids": "ids", "n_tokens": "n_tokens", "ids_sha256": "ids_sha256",
+                 "decoded_sha256": "decoded_sha256"}
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids, ready for training."""
+    """The documents with their token ids, ready for training. Columns of the
+    documents that are named like the new ones are replaced."""
     _bounded_batches(spark)
     ranks = tokens.load_ranks(public_tokenizers.path(VOCABULARY))
-    found = tokens.encode_documents(docs, ranks, public_tokenizers.PATTERN, out="_tokens")
+    found = tokens.encode_documents(
+        _packed(docs, "text"), ranks, public_tokenizers.PATTERN, keep_text=False
+    )
     return found.select(
-        *docs.columns,
-        F.col("_tokens.ids").alias("token_ids"),
-        F.col("_tokens.n_tokens").alias("n_tokens"),
-        F.col("_tokens.ids_sha256").alias("ids_sha256"),
-        F.col("_tokens.decoded_sha256").alias("decoded_sha256"),
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c not in TOKEN_COLUMNS],
+        *[F.col("tokens").getField(f).alias(c) for c, f in TOKEN_COLUMNS.items()],
     )
 
 
