@@ -27,12 +27,17 @@ from starmart import (  # noqa: E402
     ingest,
 )
 from starmart.contracts import FACTS, GEOS, fact_table  # noqa: E402
-from starmart.functions.periods import PERIODS  # noqa: E402
+from starmart.functions.periods import PERIODS, in_period  # noqa: E402
 from starmart.functions.status import status_detail, status_name  # noqa: E402
 from starmart.operators.flatten import flatten_records  # noqa: E402
 from starmart.operators.keys import key_violations  # noqa: E402
 from starmart.operators.totals import unpivot_measures  # noqa: E402
-from starmart.plans.facts import period_totals, sorted_totals, status_rows  # noqa: E402
+from starmart.plans.facts import (  # noqa: E402
+    fact_of_ids,
+    period_totals,
+    sorted_totals,
+    status_rows,
+)
 from starmart.plans.jobs import row_counts  # noqa: E402
 from starmart.plans.refresh import StarState, refresh_all  # noqa: E402
 from starmart.sinks.files import land  # noqa: E402
@@ -49,7 +54,9 @@ try:
     import corpus_pipeline
     from starmart.llm import queries as corpus_queries
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "starmart.llm", "starmart.llm.queries"):
+    # Or a package that they need and nothing else does.
+    optional = ("corpus_pipeline", "starmart.llm", "starmart.llm.queries")
+    if missing.name not in (*optional, "regex", "xxhash", "public_tokenizers"):
         raise
     CORPUS, CORPUS_SQL = {}, {}
 else:
@@ -60,6 +67,8 @@ else:
 
 SPEC = SHIPMENT_SPEC
 DAY = date(1999, 6, 30)
+MONTH = "1998-09"
+DAYS = ("1997-02-25", "1997-03-03")
 PREVIEW_ROWS = 20
 REFRESHES = 3
 
@@ -200,7 +209,36 @@ def _key_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fact_preview(spark: SparkSession, folder: str) -> DataFrame:
     """The rows that a console preview of a fact shows, in the order of ids."""
-    return _fact(spark, folder, "province", "daily").orderBy("id").limit(PREVIEW_ROWS)
+    raw = shipment_records(spark, folder)
+    rows = fact_of_ids(raw, SPEC, "province", "daily", 1, PREVIEW_ROWS, Staging(spark))
+    return rows.orderBy("id")
+
+
+def _fact_of_one_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily totals of a month of a landed table; the filter reaches the scan."""
+    path = Staging(spark).folder("raw")
+    land(shipment_records(spark, folder), path, sort_by=[SPEC.date])
+    where = in_period(F.col(SPEC.date), "monthly", MONTH)
+    return fact(read_parquet(spark, path, SPEC), None, SPEC, "district", "daily", where=where)
+
+
+def _fact_of_some_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily totals of a week of a table that was landed with file statistics."""
+    path = Staging(spark).folder("raw")
+    land(shipment_records(spark, folder), path, sort_by=[SPEC.date], statistics=SPEC.date)
+    raw = read_parquet(spark, path, SPEC, days=DAYS)
+    return fact(raw, None, SPEC, "province", "daily")
+
+
+def _csv_two_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Two landings, the columns of one in reverse and with a further one, read as one."""
+    staging = Staging(spark)
+    raw = staging.save(shipment_records(spark, folder), "raw")
+    half = F.crc32(F.col(SPEC.date).cast("binary")) % 2 == 0
+    land(raw.where(half), staging.folder("csv/a"), "csv")
+    turned = raw.where(~half).select(F.lit("x").alias("note"), *reversed(raw.columns))
+    land(turned, staging.folder("csv/b"), "csv")
+    return read_csv(spark, [staging.folder("csv/a"), staging.folder("csv/b")], SPEC)
 
 
 def _one_job(spark: SparkSession, folder: str) -> FileWarehouse:
@@ -262,6 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "json_ingest_any_spelling": _json_ingest_any_spelling,
         "json_ingest_split": _json_ingest_split,
         "csv_landing_default": _csv_landing_default,
+        "csv_two_headers": _csv_two_headers,
         "csv_landing_roundtrip": _csv_landing_roundtrip,
         "csv_text_copy": _csv_text_copy,
         "unpivot_measures": _unpivot_measures,
@@ -275,6 +314,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             found[fact_table(geo, period)] = partial(_fact, geo=geo, period=period)
     return found | {
         "fact_filtered_by_date": _fact_filtered_by_date,
+        "fact_of_one_month": _fact_of_one_month,
+        "fact_of_some_days": _fact_of_some_days,
         "fact_preview": _fact_preview,
         "dense_fact_ids": _dense_fact_ids,
         "key_violations": _key_violations,
@@ -385,6 +426,7 @@ def oracle_sql() -> dict[str, str]:
         "json_ingest_any_spelling": raw_rows,
         "json_ingest_split": raw_rows,
         "csv_landing_default": raw_rows,
+        "csv_two_headers": raw_rows,
         "csv_landing_roundtrip": raw_rows,
         "csv_text_copy": text_rows,
         "unpivot_measures": f"WITH {_RAW}, {_LONG} "
@@ -405,6 +447,10 @@ def oracle_sql() -> dict[str, str]:
     return found | {
         "fact_filtered_by_date": _WITH
         + _fact_sql("district", "daily", f"tanggal = '{DAY.isoformat()}'"),
+        "fact_of_one_month": _WITH
+        + _fact_sql("district", "daily", f"substr(tanggal, 1, 7) = '{MONTH}'"),
+        "fact_of_some_days": _WITH
+        + _fact_sql("province", "daily", f"tanggal BETWEEN '{DAYS[0]}' AND '{DAYS[1]}'"),
         "fact_preview": _WITH + _fact_sql("province", "daily") + f" ORDER BY 1 LIMIT {PREVIEW_ROWS}",
         "dense_fact_ids": _WITH
         + f"SELECT id, p AS date, g AS district_id, status FROM ({_numbered_sql('district', 'daily')})",

@@ -35,6 +35,19 @@ PERIODS = {
 }
 
 
+def in_period(date: Column, period: str, value: str | None) -> Column:
+    """Whether the period of a date text is ``value``, as a comparison of the text
+    itself, which a scan can use to skip files. Equal to ``PERIODS[period].of(date) ==
+    value`` for every text, dates or not; NULL is in the period NULL."""
+    if value is None:
+        return date.isNull()
+    if period == "daily":
+        return date == value
+    if period == "monthly":  # a shorter text is its own month
+        return date.startswith(value) if len(value) == 7 else (date == value) & F.lit(len(value) < 7)
+    return ((date == value) | date.startswith(f"{value}-")) & F.lit("-" not in value)
+
+
 def date_violations(df: DataFrame, date: str) -> DataFrame:
     """The texts that are no ``yyyy-MM-dd`` day, with their row counts."""
     text = F.col(date).cast("string")

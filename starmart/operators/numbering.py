@@ -49,3 +49,24 @@ def with_position(runs: DataFrame) -> DataFrame:
         .withColumn(POSITION, F.col(_BEFORE) + row)
         .drop(_PART, _SLOT, _BEFORE)
     )
+
+
+def between_positions(runs: DataFrame, first: int, last: int) -> DataFrame:
+    """``with_position`` for the rows from place ``first`` to ``last`` alone.
+
+    The sizes of the runs, one number per sort partition, tell which of them hold
+    the places, and where. The filter is a range of the stored slots, so files of
+    other runs are skipped, and nothing is sorted.
+    """
+    part = F.shiftright(_SLOT, _ROW_BITS)
+    sizes = runs.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("n")).collect()
+    wanted, position, before = F.lit(False), F.lit(None).cast("bigint"), 0
+    for run in sorted(sizes, key=lambda r: r[_PART]):
+        low, high = max(first, before), min(last, before + run["n"] - 1)
+        if low <= high:
+            start = run[_PART] << _ROW_BITS
+            held = F.col(_SLOT).between(start + low - before, start + high - before)
+            wanted |= held
+            position = F.when(held, F.col(_SLOT) - start + before).otherwise(position)
+        before += run["n"]
+    return runs.where(wanted).withColumn(POSITION, position).drop(_SLOT)

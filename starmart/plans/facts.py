@@ -18,7 +18,7 @@ from starmart.contracts import (
 )
 from starmart.functions.periods import PERIODS
 from starmart.operators.lookup import case_lookup
-from starmart.operators.numbering import POSITION, sorted_runs, with_position
+from starmart.operators.numbering import POSITION, between_positions, sorted_runs, with_position
 from starmart.operators.totals import unpivot_measures, wide_totals
 from starmart.parallel import in_parallel
 from starmart.plans.dims import dim_case as case_rows
@@ -72,6 +72,22 @@ def placed_status_rows(placed: DataFrame, spec: StarSpec, geo: str, period: str)
     return long.withColumn("id", F.col(POSITION) * len(spec.statuses) + status_place).drop(POSITION)
 
 
+def fact_of_ids(
+    raw: DataFrame, spec: StarSpec, geo: str, period: str, first: int, last: int, staging: Staging
+) -> DataFrame:
+    """The rows of a fact with the ids from ``first`` to ``last``. The totals are
+    sorted by place once; of the sorted runs those that hold the ids are read."""
+    require_ansi(raw.sparkSession)
+    records = conform_raw(raw, spec)
+    totals = period_totals(records, geo, period, spec.date, spec.geo_code(geo), spec.measures)
+    runs = sorted_totals(totals, geo, period, staging)
+    per_place = len(spec.statuses)
+    placed = between_positions(runs, (first - 1) // per_place, (last - 1) // per_place)
+    lookup = case_lookup(staging.save(case_rows(runs, spec), "dim_case"), spec.statuses)
+    rows = placed_status_rows(placed, spec, geo, period).join(lookup, "status")
+    return conform(rows.where(F.col("id").between(first, last)), fact_table(geo, period))
+
+
 def fact_rows(
     runs: DataFrame, lookup: DataFrame, spec: StarSpec, geo: str, period: str
 ) -> DataFrame:

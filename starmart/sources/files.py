@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,11 +11,17 @@ from pyspark.sql import types as T
 from starmart.contracts import conform_raw, raw_schema
 from starmart.functions.names import quoted
 from starmart.operators.flatten import RECORDS, folded
+from starmart.parallel import in_parallel
 from starmart.sources.split_json import split_records
 from starmart.spec import StarSpec
 from starmart.staging import Staging
+from starmart.storage import exists, files_below, first_line
 
 RECORD_TYPE = "MAP<STRING, STRING>"
+# Where a landed table has its file statistics; readers of the table skip the name.
+STATISTICS = "_days"
+# Headers that are read side by side.
+HEADER_READERS = 16
 
 # Keeps NULL, '' and blanks apart. Text with line breaks needs Parquet.
 CSV_LOSSLESS = {
@@ -82,23 +90,69 @@ def read_records(
     return found.select(folded(F.col("record")).alias("record"))
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
-    """CSV with a header, every column as text. Files whose headers differ
-    raise. The options are ``CSV_LOSSLESS`` unless given."""
+def header_groups(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files of a CSV source by their header line. Empty files are left out."""
+    files = files_below(spark, path)
+    found = in_parallel(spark, {f: partial(first_line, spark, f) for f in files}, HEADER_READERS)
+    groups: dict[str, list[str]] = {}
+    for file in files:
+        if found[file]:
+            groups.setdefault(found[file], []).append(file)
+    if not groups:
+        raise ValueError(f"no file has a header in {path}")
+    return list(groups.values())
+
+
+def _read_group(spark: SparkSession, files: list[str], sep: str, options: dict) -> DataFrame:
     options = {**CSV_LOSSLESS, "enforceSchema": False, **options}
-    return spark.read.options(header=True, sep=sep, **options).csv(path)
+    return spark.read.options(header=True, sep=sep, **options).csv(files)
+
+
+def read_csv_text(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
+    """CSV with a header, every column as text. Files are read by their header, one
+    scan for those with the same, and united by name; a column that a file lacks is
+    NULL. The options are ``CSV_LOSSLESS`` unless given."""
+    groups = [_read_group(spark, files, sep, options) for files in header_groups(spark, path)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
 
 
 def read_csv(
     spark: SparkSession, path: str | list[str], spec: StarSpec, sep: str = ",", **options
 ) -> DataFrame:
-    """The raw table from CSV. Columns are taken by header name, so their order
-    and further columns do not matter, as long as all files have one header;
-    codes stay text."""
-    return conform_raw(read_csv_text(spark, path, sep, **options), spec, from_text=True)
+    """The raw table from CSV. Columns are taken by header name, file by file, so
+    their order and further columns do not matter; a file without a declared column
+    raises. Codes stay text."""
+    groups = [_read_group(spark, files, sep, options) for files in header_groups(spark, path)]
+    return reduce(DataFrame.unionAll, [conform_raw(g, spec, from_text=True) for g in groups])
 
 
-def read_parquet(spark: SparkSession, path: str | list[str], spec: StarSpec) -> DataFrame:
-    """The raw table from Parquet."""
+def read_parquet(
+    spark: SparkSession,
+    path: str | list[str],
+    spec: StarSpec,
+    days: tuple[str, str] | None = None,
+) -> DataFrame:
+    """The raw table from Parquet. ``days`` are the first and the last day that are
+    wanted: of a table that was landed with file statistics, files without any of
+    them are not opened, not even for their footers."""
     paths = [path] if isinstance(path, str) else path
-    return conform_raw(spark.read.parquet(*paths), spec)
+    if days is None:
+        return conform_raw(spark.read.parquet(*paths), spec)
+    files = [f for p in paths for f in files_of_days(spark, p, *days)]
+    day = F.col(quoted(spec.date))
+    if not files:
+        return spark.createDataFrame([], raw_schema(spec))
+    return conform_raw(spark.read.parquet(*files), spec).where((day >= days[0]) & (day <= days[1]))
+
+
+def files_of_days(spark: SparkSession, path: str, first: str, last: str) -> list[str]:
+    """The files of a landed table that may hold days from ``first`` to ``last``;
+    all of them if it was landed without statistics."""
+    folder = f"{path.rstrip('/')}/{STATISTICS}"
+    if not exists(spark, folder):
+        return [path]
+    stats = spark.read.schema("file STRING, first STRING, last STRING").parquet(folder)
+    held = stats.where((F.col("first") <= last) & (F.col("last") >= first)).select("file")
+    return [f"{path.rstrip('/')}/{r[0]}" for r in held.sort("file").collect()]
+
+

@@ -61,3 +61,38 @@ def write_new(spark: SparkSession, file: str, text: str, beside: str) -> bool:
         return True
     system.delete(draft, False)
     return False
+
+
+def files_below(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that Spark would read for paths, which may be folders or patterns:
+    names that begin with a dot or an underscore are left out."""
+    found = []
+    for pattern in [paths] if isinstance(paths, str) else paths:
+        path, system = path_of(spark, pattern)
+        waiting = list(system.globStatus(path) or [])
+        if not waiting:
+            raise FileNotFoundError(f"there is nothing at {pattern}")
+        while waiting:
+            status = waiting.pop()
+            if status.isFile():
+                found.append(status.getPath().toString())
+            else:
+                inside = system.listStatus(status.getPath())
+                waiting += [s for s in inside if not s.getPath().getName().startswith((".", "_"))]
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, file: str) -> str:
+    """The first line of a text file, compressed or not; empty if it has none."""
+    context = spark.sparkContext
+    path, system = path_of(spark, file)
+    codecs = context._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        context._jsc.hadoopConfiguration()
+    )
+    codec, stream = codecs.getCodec(path), system.open(path)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        reader = context._jvm.java.io.InputStreamReader(plain, "UTF-8")
+        return context._jvm.java.io.BufferedReader(reader).readLine() or ""
+    finally:
+        stream.close()

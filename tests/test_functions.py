@@ -3,7 +3,7 @@ from fixtures import SMALL_SPEC
 from pyspark.sql import functions as F
 
 from starmart import CASE_SPEC, StarSpec
-from starmart.functions.periods import PERIODS, date_violations
+from starmart.functions.periods import PERIODS, date_violations, in_period
 from starmart.functions.status import status_detail, status_name
 
 
@@ -54,3 +54,16 @@ def test_status_parts(spark):
         ("a_b", "a", "b"),
         (None, None, None),
     ]
+
+
+def test_a_period_as_a_comparison_of_the_text(spark):
+    """For all texts, dates or not, and all values."""
+    texts = [None, "", "2020", "2020-", "2020-08", "2020-08-05", "2020-08x", "2020-0", "05/08/2020"]
+    texts += ["2020-08-05 x", "20", "-", "é-1", "2020/08/05", "2020-080"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    values = {None, *texts, *(t[:7] for t in texts if t), *(t.split("-")[0] for t in texts if t)}
+    for name, period in PERIODS.items():
+        for value in values:
+            slow = period.of(F.col("t")).eqNullSafe(F.lit(value))
+            fast = F.coalesce(in_period(F.col("t"), name, value), F.lit(False))
+            assert df.where(slow != fast).collect() == [], (name, value)

@@ -3,8 +3,9 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from starmart.operators.numbering import sorted_runs, with_position
+from starmart.operators.numbering import POSITION, between_positions, sorted_runs, with_position
 from starmart.staging import Staging
 
 SCHEMA = "p string, g string, v bigint"
@@ -57,3 +58,22 @@ text = st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]), ma
 def test_positions_of_any_text(spark, data):
     rows = [(p, g, v) for (p, g), v in data.items()]
     assert set(numbered(spark, rows)) == expected(rows)
+
+
+def test_places_of_a_range_come_from_few_runs(spark):
+    rows = spark.range(1_000).select((F.col("id") * 7919 % 1_000).alias("k")).repartition(5)
+    staging = Staging(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        runs = sorted_runs(rows, ["k"], staging, "runs")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for first, last in ((0, 0), (0, 999), (120, 731), (998, 2_000), (-5, 3), (1_000, 1_005)):
+        found = between_positions(runs, first, last).collect()
+        wanted = range(max(0, first), min(999, last) + 1)
+        assert sorted((r["k"], r[POSITION]) for r in found) == [(i, i) for i in wanted]
+    one = between_positions(runs, 3, 8)
+    plan = one._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(_slot" in plan and "Exchange" not in plan.split("Physical Plan")[1]
+    held = {r[0] for r in one.select(F.input_file_name()).collect()}
+    assert len(held) == 1 < len({r[0] for r in runs.select(F.input_file_name()).collect()})

@@ -7,9 +7,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.functions.periods import in_period
 from starmart.plans.facts import period_totals
 from starmart.sinks.files import land
-from starmart.sources.files import read_parquet
+from starmart.sources.files import files_of_days, read_parquet
 from starmart.sources.shipments import SHIPMENT_SPEC, shipment_measures, shipment_records
 from starmart.staging import Staging
 
@@ -126,3 +127,40 @@ def test_a_hot_day_fills_several_files(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = [pq.read_metadata(f).num_rows for f in (tmp_path / "hot").glob("*.parquet")]
     assert sum(files) == 8_000 and max(files) < 3_000
+
+
+def test_a_month_reaches_the_scan(spark, tmp_path):
+    shipment_records(spark, FOLDER).write.parquet(str(tmp_path / "raw"))
+    raw = read_parquet(spark, str(tmp_path / "raw"), SHIPMENT_SPEC)
+    df = raw.where(in_period(F.col("tanggal"), "monthly", "1998-09"))
+    assert "StringStartsWith(tanggal,1998-09)" in plan(df)
+
+
+def test_file_statistics_pass_over_files_unopened(spark, tmp_path):
+    spec, path = SHIPMENT_SPEC, str(tmp_path / "raw")
+    raw = shipment_records(spark, FOLDER)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        land(raw, path, sort_by=[spec.date], statistics=spec.date)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    day = entry.DAY.isoformat()
+    files = list((tmp_path / "raw").glob("*.parquet"))
+    wanted = files_of_days(spark, path, day, day)
+    assert len(files) > 3 and len(wanted) == 1
+    for file in files:  # the others cannot be opened any more
+        if file.name != wanted[0].rsplit("/", 1)[1]:
+            file.write_bytes(b"no Parquet")
+    found = read_parquet(spark, path, spec, days=(day, day))
+    assert len(found.inputFiles()) == 1
+    assert found.count() == raw.where(F.col(spec.date) == day).count() > 0
+    assert read_parquet(spark, path, spec, days=("1900-01-01", "1900-12-31")).count() == 0
+
+
+def test_without_statistics_all_files_are_read(spark, tmp_path):
+    spec, path = SHIPMENT_SPEC, str(tmp_path / "raw")
+    raw = shipment_records(spark, FOLDER)
+    land(raw, path)
+    days = ("1997-01-01", "1997-01-31")
+    found = read_parquet(spark, path, spec, days=days)
+    assert found.count() == raw.where(F.col(spec.date).between(*days)).count() > 0

@@ -9,6 +9,7 @@ from starmart.sinks.files import land
 from starmart.sources.files import (
     CSV_LOSSLESS,
     document_schema,
+    header_groups,
     read_csv,
     read_csv_text,
     read_documents,
@@ -161,3 +162,30 @@ def test_malformed_documents_raise(spark, tmp_path):
     path.write_text('{"data":{"content":[{"tanggal":"a"}]}}\n{"data":{"content":[{"tang\n')
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
         ingest(spark, str(path), str(tmp_path / "raw"))
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "1.csv").write_text("tanggal,kode_prov,nama_prov,kode_kab,nama_kab,b_y,a_x\n2020-08-05,1,P,10,K,5,6\n")
+    (folder / "2.csv").write_text("a_x,note,b_y,nama_kab,kode_kab,nama_prov,kode_prov,tanggal\n8,n,7,K,10,P,1,2020-08-06\n")
+    (folder / "3.csv").write_text("tanggal,kode_prov,nama_prov,kode_kab,nama_kab,b_y,a_x\n2020-08-07,1,P,10,K,,\n")
+    (folder / "4.csv").write_text("")
+    (folder / "_5.csv").write_text("x\n1\n")
+    assert [len(g) for g in header_groups(spark, str(folder))] == [2, 1]
+    got = rows(read_csv(spark, str(folder), SMALL_SPEC))
+    assert [(r[0], *r[-2:]) for r in got] == [("2020-08-05", 5, 6), ("2020-08-06", 7, 8), ("2020-08-07", None, None)]
+    text = read_csv_text(spark, f"{folder}/[12].csv")
+    assert text.columns[-1] == "note" and rows(text.select("a_x", "note")) == [("6", None), ("8", "n")]
+    (folder / "6.csv").write_text("tanggal,kode_prov\n2020-08-08,1\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_csv(spark, str(folder), SMALL_SPEC)
+    with pytest.raises(FileNotFoundError):
+        read_csv(spark, str(tmp_path / "none"), SMALL_SPEC)
+
+
+def test_compressed_csv(spark, tmp_path):
+    spark.createDataFrame([("1", "x")], "a STRING, b STRING").write.option("header", True).option(
+        "compression", "gzip"
+    ).csv(str(tmp_path / "c"))
+    assert rows(read_csv_text(spark, str(tmp_path / "c"))) == [("1", "x")]
