@@ -4,7 +4,17 @@ import pytest
 from fixtures import NULL_ROWS, SMALL_SPEC, raw_of, skewed_rows
 from shapes import long_first_fact, rows
 
-from starmart import TABLES, build_all, build_dims, build_facts, copy_csv, dim_case, dim_district, dim_province
+from starmart import (
+    TABLES,
+    build_all,
+    build_dims,
+    build_facts,
+    copy_csv,
+    dim_case,
+    dim_district,
+    dim_province,
+    staging,
+)
 from starmart.contracts import FACTS, GEOS, fact_table
 from starmart.functions.periods import PERIODS
 from starmart.parallel import in_parallel
@@ -172,6 +182,27 @@ def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark):
         require_shared(spark, "/x")  # the default file system of this session
 
 
+def test_a_mounted_folder_is_taken_if_the_files_of_all_tasks_arrive(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    require_shared(spark, str(tmp_path))
+    require_shared(spark, f"file://{tmp_path}")
+    assert list(tmp_path.iterdir()) == []
+    (tmp_path / "other").mkdir()
+    monkeypatch.setattr(staging, "names_in", lambda spark, folder: ["part-00000"])
+    with pytest.raises(RuntimeError, match="own disk"):
+        require_shared(spark, f"{tmp_path}/other")
+    assert list((tmp_path / "other").iterdir()) == []
+
+
+def test_a_cluster_without_a_checkpoint_folder_uses_the_warehouse():
+    class WithWarehouse(Session):
+        def get(self, key, default):
+            return "hdfs://shared/wh/" if key == "spark.sql.warehouse.dir" else super().get(key, default)
+
+    assert shared_folder(WithWarehouse("yarn")) == "hdfs://shared/wh"
+    assert shared_folder(WithWarehouse("yarn", "hdfs://shared/dir")) == "hdfs://shared/dir"
+
+
 def test_shared_folder_comes_from_the_session():
     assert shared_folder(Session("yarn", "hdfs://shared/dir/", "hdfs://other")) == "hdfs://shared/dir"
     assert shared_folder(Session("yarn", folder="hdfs://other")) == "hdfs://other"
