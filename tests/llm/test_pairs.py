@@ -242,6 +242,21 @@ def test_a_hot_seed_meets_in_parts(spark, monkeypatch):
     assert len(rows) < 6 * 60
 
 
+def test_an_occurrence_meets_all_of_its_seed_if_it_has_to(spark):
+    """Eight pairs agree among 216 texts with the seed, whatever lies between them and
+    whether the seed meets in one part (seed 1) or in four (seed 2)."""
+    rows = []
+    for seed, parts in ((1, 1), (2, 4)):
+        for i in range(216):
+            bits = 255 << 8 * (i // 2) if i < 16 else 1 << i % 64
+            mask = bits - (1 << 64) if bits >= 1 << 63 else bits
+            rows.append((seed, i, 10 * seed, mask, 0, parts))
+    seeds = spark.createDataFrame(rows, f"{passages.SEED}, parts INT")
+    links = passages._linked(seeds, Staging(spark)).distinct().collect()
+    expected = {(2 * i + 1, 2 * i, 10 * seed, 10 * seed) for seed in (1, 2) for i in range(8)}
+    assert {tuple(r) for r in links} == expected
+
+
 def test_chains_equal_brute_force():
     rng = random.Random(1)
     for _ in range(60):
