@@ -203,6 +203,41 @@ def test_a_cluster_without_a_checkpoint_folder_uses_the_warehouse():
     assert shared_folder(WithWarehouse("yarn", "hdfs://shared/dir")) == "hdfs://shared/dir"
 
 
+class Unset:
+    """A session on another master and without ``spark.checkpoint.dir``."""
+
+    def __init__(self, spark, master, warehouse):
+        self.spark, self.warehouse, self.conf = spark, warehouse, self
+        self.sparkContext = Context(spark.sparkContext, master)
+
+    def get(self, key, default=None):
+        return self.warehouse if key == "spark.sql.warehouse.dir" else default
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+
+class Context:
+    def __init__(self, context, master):
+        self.context, self.master = context, master
+
+    def getCheckpointDir(self):
+        return None
+
+    def setCheckpointDir(self, folder):
+        raise AssertionError("a temporary folder of the driver")
+
+    def __getattr__(self, name):
+        return getattr(self.context, name)
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[3,2,1024]"])
+def test_a_warehouse_folder_that_no_table_has_made_yet_is_taken(spark, tmp_path, master):
+    session = Unset(spark, master, f"file:{tmp_path}/warehouse")
+    assert shared_folder(session) == f"file:{tmp_path}/warehouse"
+    assert list((tmp_path / "warehouse").iterdir()) == []
+
+
 def test_shared_folder_comes_from_the_session():
     assert shared_folder(Session("yarn", "hdfs://shared/dir/", "hdfs://other")) == "hdfs://shared/dir"
     assert shared_folder(Session("yarn", folder="hdfs://other")) == "hdfs://other"
