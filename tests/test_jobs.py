@@ -238,6 +238,18 @@ def test_a_warehouse_folder_that_no_table_has_made_yet_is_taken(spark, tmp_path,
     assert list((tmp_path / "warehouse").iterdir()) == []
 
 
+def test_a_staged_table_can_drop_its_shuffles(spark):
+    def shuffled():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for d in disk.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+
+    with staging.Staging(spark) as held:
+        before, setting = shuffled(), spark.conf.get(staging.CLEANUP, None)
+        saved = held.save(spark.range(1000).repartition("id"), "rows", drop_shuffles=True)
+        assert not shuffled() - before and saved.count() == 1000
+        assert spark.conf.get(staging.CLEANUP, None) == setting
+
+
 def test_shared_folder_comes_from_the_session():
     assert shared_folder(Session("yarn", "hdfs://shared/dir/", "hdfs://other")) == "hdfs://shared/dir"
     assert shared_folder(Session("yarn", folder="hdfs://other")) == "hdfs://other"
