@@ -462,3 +462,12 @@ def test_blocks_are_read_one_after_the_other(spark, monkeypatch):
     found = decontaminate.benchmark_hits(docs, bench)
     assert names.count("hits") > 4 and names[0] == "items"
     assert sorted(found.collect()) == whole and {r["item_id"] for r in whole} == set(range(40))
+
+
+def test_the_chains_of_a_pair_are_one_row(spark):
+    """Two passages of two texts, far apart: their texts meet once."""
+    links = [(2, 1, place, place + 500 * (place > 100)) for place in (5, 9, 13, 305, 309, 313)]
+    found = passages._chained(spark.createDataFrame(links, "a BIGINT, b BIGINT, pos INT, other INT")).collect()
+    assert [(r.a, r.b) for r in found] == [(2, 1)]
+    assert sorted(found[0].pos) == [[5, 9, 13], [305, 309, 313]]
+    assert sorted(found[0].other) == [[5, 9, 13], [805, 809, 813]]
