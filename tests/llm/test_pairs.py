@@ -471,3 +471,48 @@ def test_the_chains_of_a_pair_are_one_row(spark):
     assert [(r.a, r.b) for r in found] == [(2, 1)]
     assert sorted(found[0].pos) == [[5, 9, 13], [305, 309, 313]]
     assert sorted(found[0].other) == [[5, 9, 13], [805, 809, 813]]
+
+
+def test_words_around_chains_tell_what_whole_texts_tell():
+    """Cut texts give the alignment of whole ones, or say that they may not."""
+    rng = random.Random(5)
+    told, cut = 0, 0
+    for _ in range(300):
+        shared = [rng.randrange(1, 400) for _ in range(rng.choice((40, 80, 300)))]
+        copy = [x if rng.random() > 0.12 else 0 for x in shared]
+        around = lambda: [rng.randrange(1, 400) for _ in range(rng.choice((0, 20, 200)))]
+        a, b = (np.array(around() + x + around(), np.uint64) for x in (shared, copy))
+        seeds = [
+            (p, o) for p in range(len(a) - 3) for o in range(len(b) - 3)
+            if a[p] == b[o] and np.array_equal(a[p : p + 4], b[o : o + 4])
+        ]
+        for chain in passages.chains(*map(np.array, zip(*rng.sample(seeds, min(3, len(seeds))), strict=True))) if seeds else []:
+            spans = [(max(0, x[0] - 64), x[-1] + 4 + 64) for x in zip(*chain, strict=True)]
+            (p, p_end), (o, o_end) = spans
+            ends = (p > 0, o > 0), (p_end < len(a), o_end < len(b))
+            moved = [(x - p, y - o) for x, y in chain]
+            try:
+                found = passages.passages_of(a[p:p_end], b[o:o_end], moved, ends)
+            except passages.Cut:
+                cut += 1
+                continue
+            told += 1
+            back = [(s + p, e + p, t + o, u + o, equal) for s, e, t, u, equal in found]
+            assert back == passages.passages_of(a, b, chain)
+    assert told > 200 and cut > 20
+
+
+def test_whole_texts_go_only_to_chains_that_go_on(spark, monkeypatch):
+    """Pairs that agree around one seed alone end there; long common stretches
+    are still found whole."""
+    sent = []
+    aligned = passages._aligned
+    monkeypatch.setattr(passages, "_aligned", lambda rows: sent.append(rows.count()) or aligned(rows))
+    shared = prose(50, 20)
+    texts = [f"{prose(100 + i, 300)} {shared} {prose(200 + i, 300)}" for i in range(40)]
+    long = prose(60, 900)
+    texts += [f"{prose(300, 100)} {long}", f"{long} {prose(301, 100)}"]
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    assert {(r["id"], r["other_id"]) for r in rows} <= {(40, 41), (41, 40)}
+    assert {(r["stop"] - r["start"], r["equal"]) for r in rows} >= {(900, 1.0)}
+    assert sum(sent) <= 1
