@@ -9,6 +9,7 @@ from conftest import edited, odd_documents, prose
 
 from starmart.llm import decontaminate, minhash, passages
 from starmart.llm.components import component_labels
+from starmart.llm.queries import substring_dedup
 from starmart.llm.text import words_of
 from starmart.staging import Staging
 
@@ -218,6 +219,54 @@ def test_every_occurrence_of_a_passage_is_found(spark):
             assert any(a <= 65 * i + 5 and b >= 65 * i + 45 for a, b in spans), (case, i, spans)
 
 
+def test_a_few_words_over_and_over_are_a_passage(spark):
+    """Two texts each share a stretch of one to eight words that repeat at once."""
+    texts = []
+    for case in range(40):
+        words = [f"w{case}x{i}" for i in range(1 + case % 8)]
+        for side in range(2):
+            begin, rest = prose(1500 + 2 * case + side, 10 + side), prose(1600 + 2 * case + side, 20)
+            at = side % len(words)  # the other one begins within the words
+            texts.append(" ".join([begin, *(words * 80)[at : at + 60 + 9 * side], rest]))
+    rows = passages.repeated_passages(_docs(spark, texts)).collect()
+    assert {r["id"] // 2 for r in rows} == set(range(40))
+    assert all(r["id"] // 2 == r["other_id"] // 2 for r in rows)
+    for r in rows:
+        a = texts[r["id"]].lower().split()[r["start"] : r["stop"]]
+        b = texts[r["other_id"]].lower().split()[r["other_start"] : r["other_stop"]]
+        assert len(a) >= 50 and (r["equal"] < 1 or a == b)
+
+
+def test_seeds_of_words_that_repeat_are_few_but_some():
+    for size in range(1, 9):
+        for case in range(20):
+            words, first = words_of([" ".join([f"v{case}x{i}" for i in range(size)] * (1600 // size))])
+            seeds, owner, place = passages.seeds_of(words, first)
+            assert 80 <= len(place) <= 1600 / passages.RUN_STEP + 2 * size + 1
+            assert np.diff(place[2 * size + 1 :]).max() <= passages.RUN_STEP + size
+            # Far from its ends, wherever the seed lies, the surroundings look the same.
+            masks = passages.masks_of(words, first, owner, place)
+            inner = (place >= 40) & (place < 1540)
+            for mask in masks:
+                agree = np.bitwise_count(mask[inner] & mask[inner][0])
+                assert agree.min() >= passages.LEAST_COMMON
+
+
+def test_both_documents_of_a_passage_have_a_row(spark, tmp_path):
+    shared = prose(50, 60)
+    texts = [prose(2000 + i, 40) + " " + shared + " " + prose(2100 + i, 40) for i in range(12)]
+    texts += [prose(2200, 80)] * 3 + [prose(2201, 80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = substring_dedup(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in rows} == set(range(15))
+    found = {tuple(r) for r in rows}
+    assert found == {(b, a, u, v, s, e, equal) for a, b, s, e, u, v, equal in found}
+    for r in rows:
+        a, b = (texts[r[x]].lower().split() for x in ("doc_id", "other_doc_id"))
+        assert a[r["start"] : r["stop"]] == b[r["other_start"] : r["other_stop"]] or r["equal"] < 1
+
+
 def test_copies_have_a_row_each_and_one_stands_for_them(spark):
     shared, copy = prose(50, 60), prose(51, 80)
     texts = [copy] * 30 + [prose(2, 40) + " " + shared, shared + " " + prose(3, 40)] + ["too short"] * 4
