@@ -40,8 +40,11 @@ def folded(record: Column) -> Column:
 
 
 def field_names(records: DataFrame) -> list[str]:
-    """The names that occur in the maps of the column ``record``, in order."""
-    names = records.select(F.explode(F.map_keys("record")).alias("name")).distinct()
+    """The names that occur in the maps of the column ``record``, in order. Records
+    with the same names count once before these are taken apart."""
+    sets = records.select(F.sort_array(F.map_keys("record")).alias("names")).distinct()
+    # An inner explode would have Spark filter by the names, and parse, before other filters.
+    names = sets.select(F.explode_outer("names").alias("name")).where("name IS NOT NULL").distinct()
     found = [r[0] for r in names.limit(MOST_FIELDS + 1).collect()]
     if len(found) > MOST_FIELDS:
         raise ValueError(f"the records have more than {MOST_FIELDS} different fields")

@@ -23,6 +23,7 @@ from starmart.staging import Staging
 CUT = "}"
 # Stand in for an escaped backslash and an escaped quote: no JSON text holds them.
 _BACKSLASH, _QUOTE = "\x01", "\x02"
+_BLANKS = " \t\n\x0b\f\r"
 _STRING = r'"[^"]*(?:"|$)'
 _HEAD = r'^[^"]*(?:"|$)'
 _TOKEN = rf'{_STRING}|[\[\]{{}}:,]|[^"\[\]{{}}:,]+'
@@ -43,23 +44,19 @@ def _unguarded(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
 
 
-def _number_of(chars: str, text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _number_of(char: str, text: Column) -> Column:
+    """How often a character of one byte occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
 
 
-def _outside(text: Column, inside: bool) -> Column:
-    """What of a guarded piece lies outside texts, if it begins ``inside`` one."""
-    text = F.regexp_replace(text, _HEAD, "") if inside else text
-    return F.regexp_replace(text, _STRING, "")
+def _opened(text: Column) -> Column:
+    return _number_of("{", text) + _number_of("[", text)
 
 
-def _deeper(text: Column, quotes: Column, inside: bool) -> Column:
-    """How much deeper a piece ends than it begins. The brace after it counts
-    unless a text holds it."""
-    outside = _outside(text, inside)
-    ends_inside = (quotes + int(inside)) % 2 == 1
-    change = _number_of("{[", outside) - _number_of("]", outside)
-    return (change - F.when(ends_inside, 0).otherwise(1)).cast("bigint")
+def _after_comma(text: Column) -> Column:
+    """The text without blanks and one comma before it."""
+    text = F.ltrim(text, F.lit(_BLANKS))
+    return F.when(text.startswith(","), F.ltrim(F.substr(text, F.lit(2)), F.lit(_BLANKS))).otherwise(text)
 
 
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -78,11 +75,38 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("seq"),
         )
     )
-    quotes = _number_of('"', F.col("text")).cast("bigint")
-    counted = read.withColumn("quotes", quotes).select(
+    text = F.col("text")
+    brackets = F.col("all_opened") + F.col("all_closed")
+    counted = read.select(
         "*",
-        _deeper(F.col("text"), F.col("quotes"), False).alias("out"),
-        _deeper(F.col("text"), F.col("quotes"), True).alias("in"),
+        _number_of('"', text).cast("bigint").alias("quotes"),
+        _opened(text).alias("all_opened"),
+        _number_of("]", text).alias("all_closed"),
+    )
+    # What lies outside texts, if the piece begins outside one. If it begins inside
+    # one, that is what lies inside, and the rest outside. Most pieces have a single
+    # bracket, whose place among the quotes tells.
+    first = F.substring_index(F.substring_index(F.substring_index(text, "{", 1), "[", 1), "]", 1)
+    counted = counted.select(
+        "*",
+        F.when(brackets <= 1, 1 - _number_of('"', first) % 2).alias("lies_outside"),
+        F.when(brackets > 1, F.regexp_replace(text, _STRING, "")).alias("outside"),
+    )
+    of_outside = lambda n, number: F.when(brackets > 1, number(F.col("outside"))).otherwise(
+        F.col(n) * F.col("lies_outside")
+    )
+    counted = counted.withColumn("opened", of_outside("all_opened", _opened)).withColumn(
+        "closed0", of_outside("all_closed", lambda x: _number_of("]", x))
+    )
+    # The brace after a piece counts unless a text holds it.
+    odd = F.col("quotes") % 2
+    counted = counted.withColumn("closed1", F.col("all_closed") - F.col("closed0")).select(
+        *read.columns,
+        "quotes",
+        "closed0",
+        "closed1",
+        (F.col("opened") - F.col("closed0") - 1 + odd).cast("bigint").alias("out"),
+        (F.col("all_opened") - F.col("opened") - F.col("closed1") - odd).cast("bigint").alias("in"),
     )
     earlier = (
         Window.partitionBy("file", "range").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
@@ -120,7 +144,8 @@ def _ranges(pieces: DataFrame) -> DataFrame:
 
 
 def _located(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Pieces with ``inside`` and ``depth`` where they begin and after their brace."""
+    """Pieces with ``inside`` and ``depth`` where they begin and after their brace, and
+    the brackets that they close outside texts."""
     state = broadcast_if_small(
         ranges.select("file", "range", F.col("inside").alias("s"), F.col("level"))
     )
@@ -135,6 +160,8 @@ def _located(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
             (F.col("level") + F.when(outside, F.col("sum0")).otherwise(F.col("sum1"))).alias("depth"),
             F.when(outside, F.col("step0")).otherwise(F.col("step1")).alias("step"),
             "quotes",
+            "closed0",
+            "closed1",
         )
         .select(
             "file",
@@ -144,6 +171,7 @@ def _located(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
             "depth",
             (F.col("depth") + F.col("step")).alias("after"),
             (F.col("inside") != (F.col("quotes") % 2 == 1)).alias("inside_after"),
+            F.when(F.col("inside"), F.col("closed1")).otherwise(F.col("closed0")).alias("closed"),
         )
     )
 
@@ -217,8 +245,7 @@ def _arrays(located: DataFrame, path: list[str], staging: Staging) -> DataFrame:
     records lie in an array at the path. Pieces that open a container so far out
     are the frame of a document, not its records."""
     levels = len(path)
-    closes = _number_of("]", F.when(F.col("inside"), _outside(F.col("text"), True)).otherwise(_outside(F.col("text"), False)))
-    outer = located.where(F.col("depth") - closes <= levels).select(
+    outer = located.where(F.col("depth") - F.col("closed") <= levels).select(
         "file", "at", _openings(F.col("text"), F.col("inside"), F.col("depth"), levels).alias("found")
     )
     opened = [F.get(F.col("found.opened"), i) for i in range(levels)]
@@ -263,38 +290,46 @@ def split_records(
     keys = records.split(".")
     if any(c in key for key in keys for c in '"\\{}[]'):
         raise ValueError(f"cannot look for {records}")
-    pieces = staging.save(_pieces(spark, path), "pieces")
-    ranges = staging.save(_ranges(pieces), "ranges")
-    located = _located(pieces, ranges)
-    _check_whole(ranges, located)
-    arrays = staging.save(_arrays(located, keys, staging), "arrays")
+    with Staging(spark) as held:
+        pieces = held.save(_pieces(spark, path), "pieces", drop_shuffles=True)
+        ranges = held.save(_ranges(pieces), "ranges")
+        located = _located(pieces, ranges)
+        _check_whole(ranges, located)
+        arrays = held.save(_arrays(located, keys, held), "arrays")
+        # Looked at once, as callers may read the records more than once.
+        whole = staging.save(_elements(located, arrays, len(keys) + 1), "elements").where("body IS NOT NULL")
+    alone = whole.where("begins AND ends").select(F.col("body").alias("record"))
+    parts = whole.where("NOT (begins AND ends)").select("file", "at", "body", "begins")
+    found = alone.unionByName(staging.save(_joined(parts), "joined"))
+    return found.select(_unguarded(F.concat("record", F.lit(CUT))).alias("record"))
+
 
-    level = len(keys) + 1
+def _elements(located: DataFrame, arrays: DataFrame, level: int) -> DataFrame:
+    """(file, at, body, begins, ends): the pieces of records, and which begin or end
+    one; without a body, what lies behind an array. No filter by the body follows here:
+    Spark would do its work again for that, in a method too long to be compiled."""
     here = (F.col("at") >= F.col("since")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
-    # A column as well, as Spark may look at a piece before it filters.
-    among = located.join(broadcast_if_small(arrays), "file").where(here).withColumn("here", here)
     opening = F.col("at") == F.col("since")
-    between = opening | ((F.col("depth") == level) & ~F.col("inside"))
-    text = F.when(opening, F.col("rest")).otherwise(F.col("text"))
-    stripped = F.when(between, F.regexp_replace(text, r"^\s*,?\s*", "")).otherwise(text)
-    whole = among.select(
-        "file",
-        "at",
-        "here",
-        stripped.alias("body"),
-        between.alias("between"),
-        (F.col("depth") > level).alias("deep"),
-        ((F.col("after") == level) & ~F.col("inside_after")).alias("ends"),
-    ).withColumn("begins", F.col("between") & F.col("body").startswith("{"))
+    among = (
+        located.join(broadcast_if_small(arrays), "file")
+        .where(here)
+        .select(
+            "file",
+            "at",
+            F.when(opening, F.col("rest")).otherwise(F.col("text")).alias("text"),
+            (opening | ((F.col("depth") == level) & ~F.col("inside"))).alias("between"),
+            (F.col("depth") > level).alias("deep"),
+            ((F.col("after") == level) & ~F.col("inside_after")).alias("ends"),
+        )
+        .withColumn("text", F.when(F.col("between"), _after_comma(F.col("text"))).otherwise(F.col("text")))
+        .withColumn("begins", F.col("between") & F.col("text").startswith("{"))
+    )
     # Between records there is nothing else, and after the last one the end of the array.
-    other = F.col("here") & F.col("between") & ~F.col("begins") & ~F.col("body").startswith("]")
-    message = F.concat(F.lit("an element is no object: "), F.substring("body", 1, 40))
-    whole = whole.withColumn("body", F.when(other, F.raise_error(message)).otherwise(F.col("body")))
-    whole = whole.where(F.col("begins") | (~F.col("between") & F.col("deep")) | other)
-    alone = whole.where("begins AND ends").select(F.col("body").alias("record"))
-    parts = staging.save(whole.where("NOT (begins AND ends)").select("file", "at", "body", "begins"), "parts")
-    found = alone.unionByName(_joined(parts))
-    return found.select(_unguarded(F.concat("record", F.lit(CUT))).alias("record"))
+    other = F.col("between") & ~F.col("begins") & ~F.col("text").startswith("]")
+    message = F.concat(F.lit("an element is no object: "), F.substring("text", 1, 40))
+    held = F.col("begins") | (~F.col("between") & F.col("deep"))
+    body = F.when(held, F.col("text")).when(other, F.raise_error(message))
+    return among.select("file", "at", body.alias("body"), "begins", "ends")
 
 
 def _joined(parts: DataFrame) -> DataFrame:
@@ -315,7 +350,7 @@ def _joined(parts: DataFrame) -> DataFrame:
     pieces = (
         numbered.join(broadcast_if_small(before), ["file", "range"])
         .groupBy("file", (F.col("before") + F.col("n")).alias("number"))
-        .agg(F.array_sort(F.collect_list(F.struct("at", "body"))).alias("pieces"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "body"))).alias("pieces"))
     )
     bodies = F.transform("pieces", lambda p: p["body"])
     return pieces.select(F.array_join(bodies, CUT).alias("record"))

@@ -8,8 +8,10 @@ from fixtures import SMALL_RECORDS, small_raw
 from shapes import rows
 
 from starmart import CASE_SPEC, ingest
+from starmart.operators.flatten import field_names
 from starmart.sources.files import read_parquet, read_records
 from starmart.sources.split_json import DocumentError, split_records
+from starmart.staging import Staging
 
 TEXTS = ["", "}", "{", '"', "\\", '\\"', "}]", 'a"}b', "\\\\", "é𝒳", "\n}", "x" * 30, ',{"tanggal":1}', "content"]
 
@@ -99,3 +101,29 @@ def test_documents_without_records(spark, tmp_path):
     for i, text in enumerate(['{"data":{"content":[]}}', '{"data":{}}', "{}", '{"content":[{"a":1}]}']):
         (tmp_path / f"{i}.json").write_text(text)
     assert read_records(spark, str(tmp_path), split=True).count() == 0
+
+
+def test_pieces_are_looked_at_once(spark, tmp_path, conf, monkeypatch):
+    """The steps behind the first look neither read its table again nor hold a method
+    too long for the compiler, however often the records are read."""
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps({"data": {"content": [{"a": "}", "b": [{}]}, {"a": 1}]}, "more": [{"c": {}}] * 3}))
+    conf("spark.sql.adaptive.enabled", "false")
+    sizes, save = [], Staging.save
+
+    def saved(self, df, name, **options):
+        if name == "elements":
+            code = df._jdf.queryExecution().debug().codegenToSeq()
+            sizes.extend(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size()))
+        return save(self, df, name, **options)
+
+    monkeypatch.setattr(Staging, "save", saved)
+    found = split_records(spark, str(tmp_path))
+    assert sorted(r[0] for r in found.collect()) == ['{"a": "}", "b": [{}]}', '{"a": 1}']
+    assert {f.rsplit("/", 2)[1].rsplit("-", 1)[0] for f in found.inputFiles()} == {"elements", "joined"}
+    assert sizes and max(sizes) < 8000
+
+
+def test_names_of_records_are_found_once_each(spark):
+    records = spark.createDataFrame([({"b": "1", "a": None},), ({"a": "2", "b": "3"},), ({},), ({"c": "4"},), (None,)], "record MAP<STRING, STRING>")
+    assert field_names(records) == ["a", "b", "c"]
