@@ -201,6 +201,38 @@ def test_quoters_do_not_hide_a_longer_passage(spark):
     assert all(r["id"] // 14 == r["other_id"] // 14 and r["stop"] - r["start"] >= 55 for r in rows)
 
 
+def test_many_quoters_do_not_hide_a_longer_passage(spark):
+    """Two texts share 60 words; two hundred others quote 30 of them, from any place."""
+    rng = random.Random(3)
+    words = lambda n: [f"w{rng.randrange(30000)}" for _ in range(n)]
+    texts = []
+    for case in range(10):
+        shared = words(60)
+        for i in range(202):
+            at = rng.randint(0, 30)
+            text = words(50)
+            text[25:25] = shared if i < 2 else shared[at : at + 30]
+            texts.append((case, text))
+    rng.shuffle(texts)
+    rows = passages.repeated_passages(_docs(spark, [" ".join(t) for _, t in texts])).collect()
+    assert {texts[r["id"]][0] for r in rows} == set(range(10))
+    assert all(texts[r["id"]][0] == texts[r["other_id"]][0] and r["stop"] - r["start"] >= 55 for r in rows)
+
+
+def test_occurrences_are_compared_with_all_of_their_seed(spark):
+    """Two texts of forty agree most, in whatever parts they meet; the others agree
+    with each of them as well."""
+    rows = []
+    for seed, parts in ((1, 1), (2, 4)):
+        for i in range(40):
+            mask = (1 << 20) - 1 if i in (7, 31) else (1 << 9) - 1
+            rows.append((seed, i, 10 * seed, mask, 0, parts))
+    seeds = spark.createDataFrame(rows, f"{passages.SEED}, parts INT")
+    links = {tuple(r) for r in passages._linked(seeds, Staging(spark)).distinct().collect()}
+    assert {(31, 7, 10, 10), (31, 7, 20, 20)} <= links
+    assert {x for link in links for x in link[:2]} == set(range(40)) and len(links) < 2 * 3 * 40
+
+
 def test_every_occurrence_of_a_passage_is_found(spark):
     """One text of a pair holds the passage twice or more often."""
     texts = []
