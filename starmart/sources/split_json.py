@@ -291,7 +291,7 @@ def split_records(
     if any(c in key for key in keys for c in '"\\{}[]'):
         raise ValueError(f"cannot look for {records}")
     with Staging(spark) as held:
-        pieces = held.save(_pieces(spark, path), "pieces", drop_shuffles=True)
+        pieces = held.save(_pieces(spark, path), "pieces")
         ranges = held.save(_ranges(pieces), "ranges")
         located = _located(pieces, ranges)
         _check_whole(ranges, located)
